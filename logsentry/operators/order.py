@@ -9,6 +9,7 @@ position plus an offset from a table with one row per range.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,32 +45,34 @@ def range_parts(df: DataFrame, order: list[str | Column], tag: str = "ranges") -
     }).drop("_mid")
 
 
-def _offsets(parts: DataFrame, sums: dict[str, Column]) -> DataFrame:
-    """Per range, the total of each measure over all earlier ranges.
+def _offsets(parts: DataFrame, sums: dict[str, Column]) -> dict[str, Column]:
+    """For a row of a range, the total of each measure over all earlier ranges.
 
-    One row per range partition: bounded by the shuffle partition count, whatever the data size.
+    The totals per range are the only thing collected: one row per range partition,
+    bounded by the shuffle partition count whatever the data size. They come back
+    as one array looked up by range number, so no join is planned and a branch that
+    does not use the value does not read its inputs.
     """
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    totals = parts.groupBy("_part").agg(*[c.alias(n) for n, c in sums.items()])
-    return totals.select(
-        F.col("_part").alias("_range"),
-        *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in sums],
-    )
-
-
-def _with_offsets(parts: DataFrame, offsets: DataFrame) -> DataFrame:
-    return parts.join(F.broadcast(offsets), parts["_part"] == offsets["_range"]).drop("_range")
+    rows = parts.groupBy("_part").agg(*[c.alias(n) for n, c in sums.items()]).collect()
+    total = {r["_part"]: r for r in rows}
+    before = {n: [] for n in sums}
+    running = {n: 0 for n in sums}
+    for part in range(max(total, default=-1) + 1):
+        for n in sums:
+            before[n].append(running[n])
+            running[n] += (total[part][n] or 0) if part in total else 0
+    table = parts.sparkSession.createDataFrame(pa.table({n: [before[n]] for n in sums}))
+    return {n: F.element_at(table.select(n).scalar(), F.col("_part") + 1) for n in sums}
 
 
 def global_index(df: DataFrame, order: list[str | Column], name: str = "idx", tag: str = "index") -> DataFrame:
     """Add the gap-free 0-based position of each row in the global order.
 
-    ``order`` must end in a tie key that makes it total. One range shuffle; the
-    later join is a broadcast of one row per range.
+    ``order`` must end in a tie key that makes it total. One range shuffle, no join.
     """
     parts = range_parts(df, order, tag)
-    base = _offsets(parts, {"_base": F.count(F.lit(1))})
-    return _with_offsets(parts, base).withColumn(name, F.col("_base") + F.col("_pos")).drop("_part", "_pos", "_base")
+    base = _offsets(parts, {"rows": F.count(F.lit(1))})["rows"]
+    return parts.withColumn(name, base + F.col("_pos")).drop("_part", "_pos")
 
 
 def prefix_sum(df: DataFrame, order: list[str | Column], cols: list[str], tag: str = "prefix") -> DataFrame:
@@ -78,13 +81,9 @@ def prefix_sum(df: DataFrame, order: list[str | Column], cols: list[str], tag: s
     ``_part`` and ``_pos`` are kept for neighbour look-ups across ranges.
     """
     parts = range_parts(df, order, tag)
-    base = _offsets(parts, {f"_base_{c}": F.sum(c) for c in cols})
+    base = _offsets(parts, {c: F.sum(c) for c in cols})
     so_far = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        _with_offsets(parts, base)
-        .withColumns({f"cum_{c}": F.col(f"_base_{c}") + F.sum(c).over(so_far) for c in cols})
-        .drop(*[f"_base_{c}" for c in cols])
-    )
+    return parts.withColumns({f"cum_{c}": base[c] + F.sum(c).over(so_far) for c in cols})
 
 
 def next_value(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -94,13 +93,14 @@ def next_value(df: DataFrame, cols: list[str]) -> DataFrame:
     a table of the ranges' first rows.
     """
     inside = Window.partitionBy("_part").orderBy("_pos")
-    following = Window.orderBy("_part")
-    firsts = df.groupBy("_part").agg(F.min_by(F.struct(*cols), "_pos").alias("_first")).select(
-        F.col("_part").alias("_range"), F.lead("_first").over(following).alias("_after")
+    firsts = df.groupBy("_part").agg(F.min_by(F.struct(*cols), "_pos").alias("_first"))
+    # One row per range: bounded by the shuffle partition count.
+    after = firsts.select(
+        F.col("_part").alias("_range"), F.lead("_first").over(Window.orderBy("_part")).alias("_after")
     )
-    return _with_offsets(df, firsts).withColumns({
+    return df.join(F.broadcast(after), df["_part"] == after["_range"]).withColumns({
         f"next_{c}": F.coalesce(F.lead(c).over(inside), F.col(f"_after.{c}")) for c in cols
-    }).drop("_after")
+    }).drop("_after", "_range")
 
 
 def blocked(df: DataFrame, halo: int, block: int = BLOCK_ROWS, idx: str = "idx") -> DataFrame:
