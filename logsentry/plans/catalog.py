@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from logsentry.plans import ordered, scoring
+from logsentry.plans import evaluation, ordered, scoring
 
-_FAMILIES = (ordered, scoring)
+_FAMILIES = (ordered, scoring, evaluation)
 
 QUERIES = {name: f for family in _FAMILIES for name, f in family.QUERIES.items()}
 ORACLES = {name: sql for family in _FAMILIES for name, sql in family.ORACLES.items()}
