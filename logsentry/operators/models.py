@@ -75,9 +75,8 @@ def train(
     settings, _ = gbt_settings(params)
     weight = float(params.get("scale_pos_weight", 1.0))
     gbt = GBTClassifier(
-        featuresCol="_features", labelCol=label, predictionCol="_prediction", rawPredictionCol="_raw",
-        probabilityCol="_probability", **{"seed": seed, **settings},
-    )
+        featuresCol="_features", labelCol=label, predictionCol="_prediction", **{"seed": seed, **settings}
+    ).setRawPredictionCol("_raw").setProbabilityCol("_probability")
     if weight != 1.0:
         data = data.withColumn("_weight", F.when(F.col(label) == 1, F.lit(weight)).otherwise(F.lit(1.0)))
         gbt = gbt.setWeightCol("_weight")
