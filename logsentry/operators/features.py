@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from logsentry.functions.calendar import create_time_features
 from logsentry.operators.encode import apply_encoders, fit_encoders
-from logsentry.operators.order import BLOCK_ROWS, blocked, carried, global_index
+from logsentry.operators.order import block_rows, blocked, carried, global_index
 from logsentry.sources.schemas import (
     CATEGORICAL_COLUMNS, FEATURE_COLUMNS, LAGS, ROLLING_WINDOW, TARGET,
 )
@@ -38,17 +38,18 @@ def create_ordered_features(
     value: str = "Payload_Size",
     ts: str = "Timestamp",
     fit_on: DataFrame | None = None,
-    block: int = BLOCK_ROWS,
+    block: int | None = None,
 ) -> DataFrame:
     """Rolling, lag and time-since features of indexed rows in one exchange.
 
     Every window partitions by the block number, so rows move once. The last time
     of each key in earlier blocks is added as extra rows in front of the block,
     not joined to the log: a few hot keys cost nothing. Lag gaps take the mean of
-    ``fit_on`` (the whole table by default).
+    ``fit_on`` (the whole table by default). ``block`` follows the table size unless given.
     """
     lags = LAGS if lags is None else lags
     halo = max([(window or 1) - 1, *lags, 0])
+    block = block or max(block_rows(df), halo)
     rows = blocked(df, halo, block)
     if since:
         carry = carried(df, since, ts, block).select(
@@ -79,19 +80,19 @@ def create_ordered_features(
     return rows.withColumns(added).filter(~F.col("_halo")).drop("_blk", "_halo")
 
 
-def create_rolling_features(df: DataFrame, window_size: int = ROLLING_WINDOW, block: int = BLOCK_ROWS) -> DataFrame:
+def create_rolling_features(df: DataFrame, window_size: int = ROLLING_WINDOW, block: int | None = None) -> DataFrame:
     """Mean and sample standard deviation over the last ``window_size`` rows; a single row has deviation 0."""
     return create_ordered_features(df, window=window_size, lags=[], since=None, block=block)
 
 
 def create_lag_features(
-    df: DataFrame, lag_values: list[int], fit_on: DataFrame | None = None, block: int = BLOCK_ROWS
+    df: DataFrame, lag_values: list[int], fit_on: DataFrame | None = None, block: int | None = None
 ) -> DataFrame:
     """The payload n rows back; gaps and missing values take the column mean."""
     return create_ordered_features(df, window=None, lags=lag_values, since=None, fit_on=fit_on, block=block)
 
 
-def create_time_since_features(df: DataFrame, key: str = "Request_Type", block: int = BLOCK_ROWS) -> DataFrame:
+def create_time_since_features(df: DataFrame, key: str = "Request_Type", block: int | None = None) -> DataFrame:
     """Seconds since the previous row of the same key; 0 on its first row and where the key is missing."""
     return create_ordered_features(df, window=None, lags=[], since=key, block=block)
 
@@ -101,7 +102,7 @@ def create_feature_matrix(df: DataFrame, columns: list[str] | None = None, targe
     return df.select("idx", *(columns or FEATURE_COLUMNS), target)
 
 
-def build_features(logs: DataFrame, tie: str = "log_id", block: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
+def build_features(logs: DataFrame, tie: str = "log_id", block: int | None = None) -> tuple[DataFrame, DataFrame]:
     """All features of a raw log, and the fitted category codes."""
     indexed = load_and_preprocess(logs, tie)
     mapping = fit_encoders(indexed, CATEGORICAL_COLUMNS)

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from logsentry.session import pin
 
-# Rows per block of the index. Raise towards a million on tables of a trillion rows.
-BLOCK_ROWS = 1 << 16
+# Rows per block: enough blocks to fill the cluster, within these bounds.
+MIN_BLOCK_ROWS = 1 << 12
+MAX_BLOCK_ROWS = 1 << 20
 
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
@@ -45,8 +46,8 @@ def range_parts(df: DataFrame, order: list[str | Column], tag: str = "ranges") -
     }).drop("_mid")
 
 
-def _offsets(parts: DataFrame, sums: dict[str, Column]) -> dict[str, Column]:
-    """For a row of a range, the total of each measure over all earlier ranges.
+def _offsets(parts: DataFrame, sums: dict[str, Column]) -> tuple[dict[str, Column], dict]:
+    """For a row of a range, the total of each measure over all earlier ranges; and the overall totals.
 
     The totals per range are the only thing collected: one row per range partition,
     bounded by the shuffle partition count whatever the data size. They come back
@@ -62,17 +63,26 @@ def _offsets(parts: DataFrame, sums: dict[str, Column]) -> dict[str, Column]:
             before[n].append(running[n])
             running[n] += (total[part][n] or 0) if part in total else 0
     table = parts.sparkSession.createDataFrame(pa.table({n: [before[n]] for n in sums}))
-    return {n: F.element_at(table.select(n).scalar(), F.col("_part") + 1) for n in sums}
+    return {n: F.element_at(table.select(n).scalar(), F.col("_part") + 1) for n in sums}, running
 
 
 def global_index(df: DataFrame, order: list[str | Column], name: str = "idx", tag: str = "index") -> DataFrame:
     """Add the gap-free 0-based position of each row in the global order.
 
     ``order`` must end in a tie key that makes it total. One range shuffle, no join.
+    The row count is kept as metadata of the column, to size blocks by.
     """
     parts = range_parts(df, order, tag)
-    base = _offsets(parts, {"rows": F.count(F.lit(1))})["rows"]
-    return parts.withColumn(name, base + F.col("_pos")).drop("_part", "_pos")
+    base, total = _offsets(parts, {"rows": F.count(F.lit(1))})
+    position = (base["rows"] + F.col("_pos")).alias(name, metadata={"rows": total["rows"]})
+    return parts.select(*[c for c in parts.columns if c not in ("_part", "_pos")], position)
+
+
+def block_rows(indexed: DataFrame, idx: str = "idx") -> int:
+    """Rows per block for an indexed table: two blocks per shuffle partition, within bounds."""
+    rows = indexed.schema[idx].metadata.get("rows", 0)
+    partitions = int(indexed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(rows // (2 * partitions), MIN_BLOCK_ROWS), MAX_BLOCK_ROWS)
 
 
 def prefix_sum(df: DataFrame, order: list[str | Column], cols: list[str], tag: str = "prefix") -> DataFrame:
@@ -81,7 +91,7 @@ def prefix_sum(df: DataFrame, order: list[str | Column], cols: list[str], tag: s
     ``_part`` and ``_pos`` are kept for neighbour look-ups across ranges.
     """
     parts = range_parts(df, order, tag)
-    base = _offsets(parts, {c: F.sum(c) for c in cols})
+    base, _ = _offsets(parts, {c: F.sum(c) for c in cols})
     so_far = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     return parts.withColumns({f"cum_{c}": base[c] + F.sum(c).over(so_far) for c in cols})
 
@@ -103,7 +113,7 @@ def next_value(df: DataFrame, cols: list[str]) -> DataFrame:
     }).drop("_after", "_range")
 
 
-def blocked(df: DataFrame, halo: int, block: int = BLOCK_ROWS, idx: str = "idx") -> DataFrame:
+def blocked(df: DataFrame, halo: int, block: int, idx: str = "idx") -> DataFrame:
     """Cut indexed rows into blocks of ``block`` rows with a ``halo`` of earlier rows.
 
     Adds ``_blk`` and ``_halo``. A frame reaching back at most ``halo`` rows gives
@@ -120,7 +130,7 @@ def blocked(df: DataFrame, halo: int, block: int = BLOCK_ROWS, idx: str = "idx")
     ).withColumn("_halo", F.col("_blk") != home)
 
 
-def carried(df: DataFrame, key: str, value: str, block: int = BLOCK_ROWS, idx: str = "idx") -> DataFrame:
+def carried(df: DataFrame, key: str, value: str, block: int, idx: str = "idx") -> DataFrame:
     """For each block and key, the key's last ``value`` (nulls skipped) in the nearest earlier block holding the key.
 
     ``value`` must not fall along the index (as a timestamp the index sorts by).

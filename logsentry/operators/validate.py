@@ -26,12 +26,11 @@ def field(record: Column, name: str) -> Column:
     return F.try_variant_get(record, f"$.{name}", "variant")
 
 
-def kind(value: Column) -> Column:
-    """int, float, str, bool, NoneType, dict or list, from the VARIANT's own type.
+def kind(schema: Column) -> Column:
+    """int, float, str, bool, NoneType, dict or list, from the text of ``schema_of_variant``.
 
     80.0 is a float although it equals 80; integers beyond 64 bits are numbers but not ports.
     """
-    schema = F.schema_of_variant(value)
     return (
         F.when(schema == "BIGINT", "int").when(schema == "STRING", "str").when(schema == "BOOLEAN", "bool")
         .when(schema == "VOID", "NoneType").when(schema.startswith("OBJECT"), "dict")
@@ -50,37 +49,45 @@ def check_fields(record: Column, required: list[str]) -> Column:
     return F.coalesce(F.size(missing_fields(record, required)) == 0, F.lit(False))
 
 
-def _number(value: Column) -> Column:
+# Fields whose types matter, in the order they are checked.
+_PORTS = ["source_port", "destination_port"]
+_TYPED = [*_PORTS, "payload_size", "protocol", "status", "user_agent"]
+
+
+def _number(name: str) -> Column:
     """A number as DOUBLE; true and false count as 1 and 0."""
+    value = F.col(f"_v_{name}")
     flag = F.try_variant_get(value, "$", "boolean").cast("int").cast("double")
-    return F.when(kind(value) == "bool", flag).when(
-        kind(value).isin("int", "float"), F.try_variant_get(value, "$", "double")
-    )
+    number = F.try_variant_get(value, "$", "double")
+    return F.when(F.col(f"_k_{name}") == "bool", flag).when(F.col(f"_k_{name}").isin("int", "float"), number)
 
 
-def _typed(record: Column) -> Column:
-    """The checked fields of a record with their kinds and values, read from the VARIANT once."""
-    ports = [F.struct(kind(field(record, p)).alias("kind"), _number(field(record, p)).alias("value")).alias(p)
-             for p in ("source_port", "destination_port")]
-    payload = F.struct(
-        kind(field(record, "payload_size")).alias("kind"), _number(field(record, "payload_size")).alias("value")
-    ).alias("payload_size")
-    texts = [F.struct(kind(field(record, t)).alias("kind"), F.try_variant_get(field(record, t), "$", "string").alias("value")).alias(t)
-             for t in ("protocol", "status", "user_agent")]
-    return F.struct(*ports, payload, *texts)
+def _spread(records: DataFrame, record: str) -> DataFrame:
+    """Add the record's fields (_v_), their kinds (_k_) and typed values (_x_), each read from the VARIANT once.
+
+    They are separate columns added in steps: Catalyst keeps a step whose columns
+    are used several times, where a struct would be taken apart and recomputed.
+    """
+    text = [n for n in _TYPED if n not in (*_PORTS, "payload_size")]
+    return (
+        records.withColumns({f"_v_{f}": field(F.col(record), f) for f in REQUEST_FIELDS})
+        .withColumns({f"_s_{f}": F.schema_of_variant(f"_v_{f}") for f in _TYPED})
+        .withColumns({f"_k_{f}": kind(F.col(f"_s_{f}")) for f in _TYPED})
+        .withColumns({
+            **{f"_x_{f}": _number(f) for f in (*_PORTS, "payload_size")},
+            **{f"_x_{f}": F.try_variant_get(f"_v_{f}", "$", "string") for f in text},
+            "missing": F.array_compact(F.array(*[F.when(F.col(f"_v_{f}").isNull(), F.lit(f)) for f in REQUEST_FIELDS])),
+        })
+    )
 
 
-def valid_types(typed: str = "typed") -> Column:
+def valid_types() -> Column:
     """Ports are integers in range, payload a number from 0, protocol and status texts. Other fields are not checked."""
-    t = lambda name, part: F.col(f"{typed}.{name}.{part}")
-    checks = [
-        *[t(p, "kind").isin("int", "bool") & t(p, "value").between(MIN_PORT, MAX_PORT) for p in ("source_port", "destination_port")],
-        t("payload_size", "kind").isin("int", "float", "bool") & (t("payload_size", "value") >= 0),
-        *[t(s, "kind") == "str" for s in ("protocol", "status")],
-    ]
-    ok = checks[0]
-    for c in checks[1:]:
-        ok = ok & c
+    ok = F.col("_k_payload_size").isin("int", "float", "bool") & (F.col("_x_payload_size") >= 0)
+    for p in _PORTS:
+        ok = ok & F.col(f"_k_{p}").isin("int", "bool") & F.col(f"_x_{p}").between(MIN_PORT, MAX_PORT)
+    for t in ("protocol", "status"):
+        ok = ok & (F.col(f"_k_{t}") == "str")
     return F.coalesce(ok, F.lit(False))
 
 
@@ -89,38 +96,37 @@ def _assess(items: DataFrame, record: str, missing_text: str, invalid_text: str)
 
     A bad record never stops the others: it gets an error text and no prediction.
     """
-    v = F.col(record)
-    out = (
-        items.withColumn("missing", missing_fields(v))
-        .withColumn("typed", _typed(v))
-        .withColumn("valid", valid_types())
-    )
-    value = lambda name: F.col(f"typed.{name}.value")
-    record_kind, agent_kind = kind(v), F.col("typed.user_agent.kind")
+    shape = kind(F.schema_of_variant(record))
+    agent = F.col("_k_user_agent")
     error = (
-        F.when(record_kind.isin("int", "float", "bool", "NoneType"),
-               F.concat(F.lit("argument of type '"), record_kind, F.lit("' is not iterable")))
+        F.when(F.col("_shape").isin("int", "float", "bool", "NoneType"),
+               F.concat(F.lit("argument of type '"), F.col("_shape"), F.lit("' is not iterable")))
         .when(F.size("missing") > 0, missing_text)
-        .when(~F.col("valid"), invalid_text)
-        .when(agent_kind != "str", F.concat(F.lit("'"), agent_kind, F.lit("' object has no attribute 'lower'")))
+        .when(~valid_types(), invalid_text)
+        .when(agent != "str", F.concat(F.lit("'"), agent, F.lit("' object has no attribute 'lower'")))
     )
     score = intrusion_score(
-        value("destination_port").cast("int"), value("payload_size"), value("protocol"), value("status"), value("user_agent")
+        F.col("_x_destination_port").cast("int"), F.col("_x_payload_size"), F.col("_x_protocol"), F.col("_x_status"),
+        F.col("_x_user_agent"),
     )
-    scored = out.withColumn("error", error).withColumn("_score", F.when(F.col("error").isNull(), score))
     prediction = F.when(F.col("error").isNull(), F.struct(
         is_intrusion(F.col("_score")).alias("is_intrusion"), F.col("_score").alias("confidence"),
         risk_level(F.col("_score")).alias("risk_level"),
     ))
-    return scored.withColumn("prediction", prediction).drop("typed", "valid", "_score")
+    return (
+        _spread(items, record).withColumn("_shape", shape).withColumn("error", error)
+        .withColumn("_score", F.when(F.col("error").isNull(), score))
+        .select(*items.columns, "missing", "error", prediction.alias("prediction"))
+    )
 
 
 def validate_records(bodies: DataFrame) -> DataFrame:
     """Per body (one record as JSON): missing field names and whether types and ranges hold."""
-    parsed = parse_body(bodies).withColumn("missing", missing_fields(F.col("request")))
-    return parsed.withColumn("typed", _typed(F.col("request"))).withColumn(
-        "has_fields", F.coalesce(F.size("missing") == 0, F.lit(False))
-    ).withColumn("valid_types", valid_types()).drop("typed", "request", "body")
+    parsed = parse_body(bodies)
+    return _spread(parsed, "request").select(
+        *bodies.columns, "missing", F.coalesce(F.size("missing") == 0, F.lit(False)).alias("has_fields"),
+        valid_types().alias("valid_types"),
+    ).drop("body")
 
 
 def predict_one(bodies: DataFrame) -> DataFrame:

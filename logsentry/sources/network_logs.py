@@ -2,46 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _pick(selector: Column, values: list, otherwise) -> Column:
-    """``values[i]`` where ``selector = i``, else ``otherwise``."""
-    out = F.when(selector == 0, F.lit(values[0]))
-    for i, value in enumerate(values[1:], start=1):
-        out = out.when(selector == i, F.lit(value))
-    return out.otherwise(F.lit(otherwise))
-
-
 def from_events(events: DataFrame) -> DataFrame:
     """Project events (event_id, ts, user_id, event_type, value, props) to network-log columns.
 
     A map-only projection: unused columns are pruned from the scan.
     """
-    k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
-    e = events.withColumn("k", k)
-    k, user, event = F.col("k"), F.col("user_id"), F.col("event_id")
-    attack = (k % 7).isin(0, 3, 5) & (user % 4 >= 2)
-    return e.select(
-        event.alias("log_id"),
-        F.col("ts").alias("Timestamp"),
-        F.concat(F.lit("192.168.1."), (user % 10).cast("string")).alias("Source_IP"),
-        F.concat(F.lit("10.0.0."), (event % 5).cast("string")).alias("Destination_IP"),
-        (F.lit(1024) + event % 60000).cast("int").alias("Source_Port"),
-        _pick(k % 7, [22, 80, 443, 445, 3306, 3389], 8080).alias("Port"),
-        F.col("event_type").alias("Request_Type"),
-        _pick(user % 4, ["HTTP", "HTTPS", "TCP"], "UDP").alias("Protocol"),
-        F.when(k % 20 == 0, F.lit(0).cast("long"))
-        .otherwise(F.round(F.col("value") * 100).cast("long")).alias("Payload_Size"),
-        _pick(k % 5, ["Mozilla/5.0", "Chrome/91.0", "Safari/14.0", "bot-scanner"], "curl/8.0").alias("User_Agent"),
-        _pick((user + k) % 4, ["Error", "Timeout"], "Success").alias("Status"),
-        F.when(attack | (F.col("value") > 150) | (event % 37 == 0), 1).otherwise(0).alias("Intrusion"),
-        k,
-    ).withColumn(
-        "Scan_Type",
-        F.when(F.col("Intrusion") == 0, "Normal").when(F.col("k") % 2 == 0, "Port_Scan").otherwise("Brute_Force"),
-    ).drop("k")
+    return events.withColumn("k", F.expr("CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)")).selectExpr(
+        "event_id AS log_id", "ts AS Timestamp",
+        "concat('192.168.1.', user_id % 10) AS Source_IP", "concat('10.0.0.', event_id % 5) AS Destination_IP",
+        "CAST(1024 + event_id % 60000 AS INT) AS Source_Port",
+        "CASE k % 7 WHEN 0 THEN 22 WHEN 1 THEN 80 WHEN 2 THEN 443 WHEN 3 THEN 445 WHEN 4 THEN 3306 WHEN 5 THEN 3389 "
+        "ELSE 8080 END AS Port",
+        "event_type AS Request_Type",
+        "CASE user_id % 4 WHEN 0 THEN 'HTTP' WHEN 1 THEN 'HTTPS' WHEN 2 THEN 'TCP' ELSE 'UDP' END AS Protocol",
+        "CASE WHEN k % 20 = 0 THEN 0L ELSE CAST(round(value * 100) AS BIGINT) END AS Payload_Size",
+        "CASE k % 5 WHEN 0 THEN 'Mozilla/5.0' WHEN 1 THEN 'Chrome/91.0' WHEN 2 THEN 'Safari/14.0' WHEN 3 THEN 'bot-scanner' "
+        "ELSE 'curl/8.0' END AS User_Agent",
+        "CASE (user_id + k) % 4 WHEN 0 THEN 'Error' WHEN 1 THEN 'Timeout' ELSE 'Success' END AS Status",
+        "CASE WHEN (k % 7 IN (0, 3, 5) AND user_id % 4 >= 2) OR value > 150 OR event_id % 37 = 0 THEN 1 ELSE 0 END AS Intrusion",
+        "k",
+    ).withColumn("Scan_Type", F.expr(
+        "CASE WHEN Intrusion = 0 THEN 'Normal' WHEN k % 2 = 0 THEN 'Port_Scan' ELSE 'Brute_Force' END"
+    )).drop("k")
 
 
 def network_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,15 +36,8 @@ def network_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_requests(logs: DataFrame) -> DataFrame:
     """Network-log rows in the shape of scoring requests."""
-    return logs.select(
-        "log_id",
-        F.col("Timestamp").alias("timestamp"),
-        F.col("Source_IP").alias("source_ip"),
-        F.col("Destination_IP").alias("destination_ip"),
-        F.col("Source_Port").alias("source_port"),
-        F.col("Port").alias("destination_port"),
-        F.col("Protocol").alias("protocol"),
-        F.col("Payload_Size").alias("payload_size"),
-        F.col("User_Agent").alias("user_agent"),
-        F.col("Status").alias("status"),
+    return logs.selectExpr(
+        "log_id", "Timestamp AS timestamp", "Source_IP AS source_ip", "Destination_IP AS destination_ip",
+        "Source_Port AS source_port", "Port AS destination_port", "Protocol AS protocol",
+        "Payload_Size AS payload_size", "User_Agent AS user_agent", "Status AS status",
     )
