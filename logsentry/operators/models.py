@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from logsentry.operators import evaluate as ev
 from logsentry.operators.splits import fold_bounds
+from logsentry.session import shared_dir
 from logsentry.sources.schemas import CV_FOLDS, TARGET
 
 # A scorer adds a probability column of the given name, leaving the rest unchanged.
@@ -72,6 +73,7 @@ def train(
 ) -> PipelineModel:
     """Fit boosted trees on the feature columns. ``scale_pos_weight`` weighs the positive class."""
     params = dict(params or {})
+    shared_dir(data.sparkSession)
     settings, _ = gbt_settings(params)
     weight = float(params.get("scale_pos_weight", 1.0))
     gbt = GBTClassifier(

@@ -79,10 +79,10 @@ def global_index(df: DataFrame, order: list[str | Column], name: str = "idx", ta
 
 
 def block_rows(indexed: DataFrame, idx: str = "idx") -> int:
-    """Rows per block for an indexed table: two blocks per shuffle partition, within bounds."""
+    """Rows per block for an indexed table: many blocks per shuffle partition, so hashing spreads them evenly."""
     rows = indexed.schema[idx].metadata.get("rows", 0)
     partitions = int(indexed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(rows // (2 * partitions), MIN_BLOCK_ROWS), MAX_BLOCK_ROWS)
+    return min(max(rows // (16 * partitions), MIN_BLOCK_ROWS), MAX_BLOCK_ROWS)
 
 
 def prefix_sum(df: DataFrame, order: list[str | Column], cols: list[str], tag: str = "prefix") -> DataFrame:

@@ -39,14 +39,16 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder: on a cluster that
     folder would vanish with the machine.
     """
+    sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    fallback = tempfile.mkdtemp(prefix="logsentry-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    if not named:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+        named = tempfile.mkdtemp(prefix="logsentry-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    if sc.getCheckpointDir() is None:  # the trees cut their lineage there
+        sc.setCheckpointDir(named)
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
@@ -68,6 +70,12 @@ def pin(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete the tables this application pinned. Call when none of them is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/logsentry/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint ``df`` for broadcast only after counting that it stays within ``max_rows``.
 
