@@ -26,16 +26,20 @@ def field(record: Column, name: str) -> Column:
     return F.try_variant_get(record, f"$.{name}", "variant")
 
 
-def kind(schema: Column) -> Column:
-    """int, float, str, bool, NoneType, dict or list, from the text of ``schema_of_variant``.
+# JSON types by the leading word of a VARIANT's schema; other numbers are float.
+_KINDS = {"BIGINT": "int", "STRING": "str", "BOOLEAN": "bool", "VOID": "NoneType", "OBJECT": "dict", "ARRAY": "list"}
 
-    80.0 is a float although it equals 80; integers beyond 64 bits are numbers but not ports.
+
+def kind(value: Column) -> Column:
+    """int, float, str, bool, NoneType, dict or list; meaningless when absent.
+
+    80.0 is a float although it equals 80; integers beyond 64 bits are numbers but not
+    ports. Written with one mention of ``value``: a filter on the result is pushed
+    down by substitution, and repeated mentions would multiply.
     """
-    return (
-        F.when(schema == "BIGINT", "int").when(schema == "STRING", "str").when(schema == "BOOLEAN", "bool")
-        .when(schema == "VOID", "NoneType").when(schema.startswith("OBJECT"), "dict")
-        .when(schema.startswith("ARRAY"), "list").otherwise("float")
-    )
+    names = F.create_map(*[F.lit(x) for pair in _KINDS.items() for x in pair])
+    word = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+    return F.coalesce(F.try_element_at(names, word), F.lit("float"))
 
 
 def missing_fields(record: Column, required: list[str] | None = None) -> Column:
@@ -55,11 +59,8 @@ _TYPED = [*_PORTS, "payload_size", "protocol", "status", "user_agent"]
 
 
 def _number(name: str) -> Column:
-    """A number as DOUBLE; true and false count as 1 and 0."""
-    value = F.col(f"_v_{name}")
-    flag = F.try_variant_get(value, "$", "boolean").cast("int").cast("double")
-    number = F.try_variant_get(value, "$", "double")
-    return F.when(F.col(f"_k_{name}") == "bool", flag).when(F.col(f"_k_{name}").isin("int", "float"), number)
+    """The value as DOUBLE; true and false count as 1 and 0. Text is ruled out by its kind."""
+    return F.try_variant_get(F.col(f"_v_{name}"), "$", "double")
 
 
 def _spread(records: DataFrame, record: str) -> DataFrame:
@@ -71,9 +72,8 @@ def _spread(records: DataFrame, record: str) -> DataFrame:
     text = [n for n in _TYPED if n not in (*_PORTS, "payload_size")]
     return (
         records.withColumns({f"_v_{f}": field(F.col(record), f) for f in REQUEST_FIELDS})
-        .withColumns({f"_s_{f}": F.schema_of_variant(f"_v_{f}") for f in _TYPED})
-        .withColumns({f"_k_{f}": kind(F.col(f"_s_{f}")) for f in _TYPED})
         .withColumns({
+            **{f"_k_{f}": kind(F.col(f"_v_{f}")) for f in _TYPED},
             **{f"_x_{f}": _number(f) for f in (*_PORTS, "payload_size")},
             **{f"_x_{f}": F.try_variant_get(f"_v_{f}", "$", "string") for f in text},
             "missing": F.array_compact(F.array(*[F.when(F.col(f"_v_{f}").isNull(), F.lit(f)) for f in REQUEST_FIELDS])),
@@ -96,7 +96,7 @@ def _assess(items: DataFrame, record: str, missing_text: str, invalid_text: str)
 
     A bad record never stops the others: it gets an error text and no prediction.
     """
-    shape = kind(F.schema_of_variant(record))
+    shape = kind(F.col(record))
     agent = F.col("_k_user_agent")
     error = (
         F.when(F.col("_shape").isin("int", "float", "bool", "NoneType"),
@@ -120,6 +120,11 @@ def _assess(items: DataFrame, record: str, missing_text: str, invalid_text: str)
     )
 
 
+def reshape_record(record: Column) -> Column:
+    """The nine request fields of a record as a struct of VARIANTs, whatever else it carries."""
+    return F.struct(*[field(record, f).alias(f) for f in REQUEST_FIELDS])
+
+
 def validate_records(bodies: DataFrame) -> DataFrame:
     """Per body (one record as JSON): missing field names and whether types and ranges hold."""
     parsed = parse_body(bodies)
@@ -130,13 +135,15 @@ def validate_records(bodies: DataFrame) -> DataFrame:
 
 
 def predict_one(bodies: DataFrame) -> DataFrame:
-    """Score bodies that hold one record each: http status, error, prediction, model_version."""
+    """Score bodies that hold one record each: status code, error, prediction, the scored input, model_version."""
     out = _assess(parse_body(bodies), "request", MISSING_FOR_PREDICTION, INVALID_VALUES)
     error = F.when(F.col("request").isNull(), NOT_JSON).otherwise(F.col("error"))
     status = F.when(error.isNull(), 200).when(error.isin(MISSING_FOR_PREDICTION, INVALID_VALUES), 400).otherwise(500)
-    return out.withColumn("status_code", status).withColumn("error", error).withColumn(
-        "model_version", F.when(error.isNull(), MODEL_VERSION)
-    ).drop("missing", "request", "body")
+    return out.select(
+        *bodies.columns, status.alias("status_code"), error.alias("error"), "prediction",
+        F.when(error.isNull(), reshape_record(F.col("request"))).alias("input_data"),
+        F.when(error.isNull(), MODEL_VERSION).alias("model_version"),
+    ).drop("body")
 
 
 def body_errors(bodies: DataFrame) -> DataFrame:

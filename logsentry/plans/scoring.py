@@ -12,6 +12,7 @@ from logsentry.operators import quality, store, validate
 from logsentry.plans.inputs import rounded, table
 from logsentry.plans.sql import LOGS, LOG_SCORE, SCORED, r6, risk, rule_score, with_
 from logsentry.sources.network_logs import as_requests, network_logs
+from logsentry.sources.schemas import REQUEST_FIELDS
 
 
 # ---- rules
@@ -101,6 +102,14 @@ def predict_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(validate.predict_one(_bodies(spark, sf_dir, batch=False)), "log_id", "status_code", "model_version")
 
 
+def record_reshape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The input fields handed back with each single score, as typed columns."""
+    out = validate.predict_one(_bodies(spark, sf_dir, batch=False)).filter("status_code = 200")
+    types = {"source_port": "int", "destination_port": "int"}
+    return out.select("log_id", *[
+        F.try_variant_get(F.col(f"input_data.{f}"), "$", types.get(f, "string")).alias(f) for f in REQUEST_FIELDS])
+
+
 def batch_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(validate.score_batch(_bodies(spark, sf_dir, batch=True)), "log_id", "index")
 
@@ -216,7 +225,7 @@ def threshold_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"rule_score": rule_score_rows} | {f.__name__: f for f in (
-    rule_predicates, risk_level, risk_by_hour, request_validation, predict_single, batch_scoring, batch_bodies,
+    rule_predicates, risk_level, risk_by_hour, request_validation, predict_single, record_reshape, batch_scoring, batch_bodies,
     store_insert, store_insert_rejects, store_update, store_update_unmatched, store_delete, store_delete_unmatched,
     store_list, append_row, null_profile, mean_impute, unknown_fill, standard_scale, class_balance, drop_and_cast,
     threshold_filter,
@@ -283,6 +292,12 @@ ORACLES = {
         SELECT log_id, CASE WHEN error IS NULL THEN 200 WHEN fault = 4 THEN 500 ELSE 400 END AS status_code,
           CASE WHEN error IS NULL THEN 'heuristic_v1.0' END AS model_version, error, {_prediction('score', 'error')}
         FROM judged"""),
+    "record_reshape": with_(LOGS + ", " + _FAULTY, """
+        SELECT f.log_id, CAST("Timestamp" AS VARCHAR) AS "timestamp", Source_IP AS source_ip,
+          Destination_IP AS destination_ip, Source_Port AS source_port, f.Port AS destination_port, f.Protocol AS protocol,
+          CASE WHEN fault = 6 THEN 'true' ELSE CAST(payload AS VARCHAR) END AS payload_size, f.User_Agent AS user_agent,
+          f.status AS status
+        FROM faulty f JOIN logs l ON f.log_id = l.log_id WHERE fault IN (6, 7, 8)"""),
     "batch_scoring": with_(LOGS + ", " + _FAULTY + f""", judged AS (
         SELECT log_id, 0 AS index, CAST(NULL AS VARCHAR) AS error, {LOG_SCORE} AS score FROM logs
         UNION ALL SELECT log_id, 1, {_verdict('Missing required fields', 'Invalid data types')}, {_FAULT_SCORE} FROM faulty)""", f"""

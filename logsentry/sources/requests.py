@@ -12,8 +12,12 @@ def read_bodies(spark: SparkSession, path: str, one_per_file: bool = False) -> D
 
 
 def parse_body(bodies: DataFrame) -> DataFrame:
-    """Add ``request`` (VARIANT, NULL where the text is not JSON)."""
-    return bodies.withColumn("request", F.try_parse_json("body"))
+    """Add ``request`` (VARIANT, NULL where the text is not JSON).
+
+    The value passes through ``explode`` of a one-element array: filters on anything
+    derived from it then stay above this step, and each body is parsed once.
+    """
+    return bodies.withColumn("request", F.explode(F.array(F.try_parse_json("body"))))
 
 
 def batch_items(bodies: DataFrame) -> DataFrame:
@@ -21,5 +25,5 @@ def batch_items(bodies: DataFrame) -> DataFrame:
 
     Bodies without a data list yield no items; see ``validate.body_errors``.
     """
-    items = F.expr("try_variant_get(request, '$.data', 'array<variant>')")
-    return parse_body(bodies).select("*", F.posexplode(items).alias("index", "item")).drop("request", "body")
+    items = F.expr("try_variant_get(try_parse_json(body), '$.data', 'array<variant>')")
+    return bodies.select("*", F.posexplode(items).alias("index", "item")).drop("body")
