@@ -20,8 +20,6 @@ EMPTY_PAYLOAD_WEIGHT = 0.1
 FAILED_TRANSPORT_WEIGHT = 0.3
 AGENT_WEIGHT = 0.4
 MODEL_VERSION = "heuristic_v1.0"
-MODEL_NAME = "Network Intrusion Detection"
-MODEL_TYPE = "Rule-based heuristic"
 
 
 def _points(condition: Column, weight: float) -> Column:

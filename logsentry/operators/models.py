@@ -25,9 +25,8 @@ from logsentry.sources.schemas import CV_FOLDS, TARGET
 # A scorer adds a probability column of the given name, leaving the rest unchanged.
 Scorer = Callable[[DataFrame, str], DataFrame]
 
-# Search space, defaults after a failed search, integer parameters.
+# Search space, integer parameters, kinds of distribution.
 SEARCH_SPECS = {
-    "name": "LightGBM",
     "max_evals": 20,
     "params": {
         "learning_rate": {"type": "uniform", "low": 0.001, "high": 0.3},
@@ -45,7 +44,6 @@ SEARCH_SPECS = {
         "num_leaves": "int", "min_child_samples": "int", "max_depth": "int", "num_iterations": "int",
     },
 }
-FALLBACK_PARAMS = {"learning_rate": 0.1, "n_estimators": 100}
 INTEGER_PARAMS = ["n_estimators", "max_depth", "num_leaves", "min_child_samples", "num_iterations"]
 SPACE_TYPES = ["quniform", "uniform", "choice"]
 

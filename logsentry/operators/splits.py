@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from math import ceil
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,7 +84,3 @@ def fold_bounds(n: int, folds: int) -> list[tuple[int, int]]:
     if size == 0:
         raise ValueError(f"cannot cut {n} rows into {folds} folds")
     return [(n - (folds - f) * size, n - (folds - f - 1) * size) for f in range(folds)]
-
-
-def test_rows(n: int, test_ratio: float) -> int:
-    return ceil(n * test_ratio)

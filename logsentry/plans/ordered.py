@@ -13,7 +13,7 @@ from logsentry.operators.order import global_index
 from logsentry.plans.inputs import indexed_logs, rounded, table
 from logsentry.plans.sql import INDEXED, LOGS, r6, with_
 from logsentry.sources.network_logs import network_logs
-from logsentry.sources.schemas import CATEGORICAL_COLUMNS, FEATURE_COLUMNS
+from logsentry.sources.schemas import CATEGORICAL_COLUMNS
 
 CALENDAR = ["hour", "day_of_week", "day", "month", "minute", "is_weekend", "is_business_hours"]
 LINE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
