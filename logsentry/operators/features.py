@@ -39,6 +39,7 @@ def create_ordered_features(
     ts: str = "Timestamp",
     fit_on: DataFrame | None = None,
     block: int | None = None,
+    last_seen: DataFrame | None = None,
 ) -> DataFrame:
     """Rolling, lag and time-since features of indexed rows in one exchange.
 
@@ -52,7 +53,7 @@ def create_ordered_features(
     block = block or max(block_rows(df), halo)
     rows = blocked(df, halo, block)
     if since:
-        carry = carried(df, since, ts, block).select(
+        carry = carried(df, since, ts, block, seed=last_seen).select(
             "_blk", since, ts,
             (F.col("_blk") * block - halo - 1).alias("idx"),
             F.lit(True).alias("_halo"),
@@ -92,9 +93,25 @@ def create_lag_features(
     return create_ordered_features(df, window=None, lags=lag_values, since=None, fit_on=fit_on, block=block)
 
 
-def create_time_since_features(df: DataFrame, key: str = "Request_Type", block: int | None = None) -> DataFrame:
-    """Seconds since the previous row of the same key; 0 on its first row and where the key is missing."""
-    return create_ordered_features(df, window=None, lags=[], since=key, block=block)
+def create_time_since_features(
+    df: DataFrame, key: str = "Request_Type", block: int | None = None, last_seen: DataFrame | None = None
+) -> DataFrame:
+    """Seconds since the previous row of the same key; 0 on its first row and where the key is missing.
+
+    For a log that arrives in increments, ``last_seen`` (key, time) holds each key's
+    last time so far: no earlier row is read again, and no key is sorted in one task.
+    """
+    return create_ordered_features(df, window=None, lags=[], since=key, block=block, last_seen=last_seen)
+
+
+def update_last_seen(
+    increment: DataFrame, last_seen: DataFrame | None = None, key: str = "Request_Type", ts: str = "Timestamp"
+) -> DataFrame:
+    """Each key's last time after an increment, to hand to the next one."""
+    seen = increment.groupBy(key).agg(F.max(ts).alias(ts))
+    if last_seen is not None:
+        seen = seen.unionByName(last_seen).groupBy(key).agg(F.max(ts).alias(ts))
+    return seen
 
 
 def create_feature_matrix(df: DataFrame, columns: list[str] | None = None, target: str = TARGET) -> DataFrame:

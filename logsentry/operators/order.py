@@ -130,12 +130,17 @@ def blocked(df: DataFrame, halo: int, block: int, idx: str = "idx") -> DataFrame
     ).withColumn("_halo", F.col("_blk") != home)
 
 
-def carried(df: DataFrame, key: str, value: str, block: int, idx: str = "idx") -> DataFrame:
+def carried(
+    df: DataFrame, key: str, value: str, block: int, idx: str = "idx", seed: DataFrame | None = None
+) -> DataFrame:
     """For each block and key, the key's last ``value`` (nulls skipped) in the nearest earlier block holding the key.
 
-    ``value`` must not fall along the index (as a timestamp the index sorts by).
-    The grid has at most blocks x keys rows, pre-aggregated on the map side.
+    ``value`` must not fall along the index (as a timestamp the index sorts by). The
+    grid has at most blocks x keys rows, pre-aggregated on the map side. ``seed``
+    (key, value) stands for everything before the first block.
     """
     grid = df.groupBy(F.expr(f"{idx} div {block}").alias("_blk"), key).agg(F.max(value).alias(value))
+    if seed is not None:
+        grid = grid.unionByName(seed.select(F.lit(-1).cast("long").alias("_blk"), key, value))
     earlier = Window.partitionBy(key).orderBy("_blk")
     return grid.withColumn(value, F.lag(value).over(earlier)).filter(F.col(value).isNotNull())

@@ -61,6 +61,14 @@ def time_since_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out.select("idx", "log_id", "time_since_last"))
 
 
+def time_since_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log in two increments, the second knowing only each key's last time in the first."""
+    first, second = splits.split_time_series(indexed_logs(spark, sf_dir, ["Request_Type"]))
+    seen = feat.update_last_seen(first)
+    out = feat.create_time_since_features(first).unionByName(feat.create_time_since_features(second, last_seen=seen))
+    return rounded(out.select("idx", "log_id", "time_since_last"))
+
+
 def ordered_features_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(*LINE_ORDER, "l_returnflag")
     out = feat.create_ordered_features(
@@ -122,7 +130,7 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     time_features, time_flags, load_preprocess, global_index_lines, rolling_mean_std, lag_features,
-    lag_features_fit_on_train, time_since_last, ordered_features_lines, encoder_mapping, label_encode, label_decode,
+    lag_features_fit_on_train, time_since_last, time_since_increments, ordered_features_lines, encoder_mapping, label_encode, label_decode,
     encode_unseen_check, feature_matrix, chrono_split, time_folds, random_split, stratified_split,
 )}
 
@@ -180,6 +188,8 @@ ORACLES = {
         FROM indexed"""),
     "time_since_last": with_(INDEXED, f"""
         SELECT idx, log_id, {r6(_gap('"Timestamp"', 'Request_Type', 'idx'))} AS time_since_last FROM indexed"""),
+    "time_since_increments": with_(INDEXED, f"""
+        SELECT idx, log_id, {r6(_gap('"Timestamp"', 'Request_Type', 'idx'))} AS time_since_last FROM indexed"""),
     "ordered_features_lines": with_(_LINES, f"""
         SELECT idx, l_orderkey, {_rolling('l_quantity', 'idx')},
           {_lags('l_quantity', 'idx', '(SELECT avg(l_quantity) FROM lineitem)')},

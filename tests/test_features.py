@@ -181,3 +181,13 @@ def test_prefix_sum(spark):
     got = prefix_sum(df, ["k"], ["v"])
     want = F.sum("v").over(Window.orderBy("k"))
     assert got.withColumn("w", want).filter("w <> cum_v").count() == 0
+
+
+def test_increments_give_the_same_gaps(indexed):
+    whole = {r.log_id: r.time_since_last for r in feat.create_time_since_features(indexed).collect()}
+    seen, got = None, {}
+    for low, high in ((0, 3), (3, 400), (400, 10 ** 9)):
+        part = global_index(indexed.filter((F.col("idx") >= low) & (F.col("idx") < high)).drop("idx"), ["Timestamp", "log_id"])
+        got |= {r.log_id: r.time_since_last for r in feat.create_time_since_features(part, block=50, last_seen=seen).collect()}
+        seen = feat.update_last_seen(part, seen)
+    assert got == whole
