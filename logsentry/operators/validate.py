@@ -96,12 +96,13 @@ def _assess(items: DataFrame, record: str, missing_text: str, invalid_text: str)
 
     A bad record never stops the others: it gets an error text and no prediction.
     """
-    shape = kind(F.col(record))
     agent = F.col("_k_user_agent")
+    # A record that is no object has no fields, so its own kind is looked up only then.
+    shape = kind(F.col(record))
+    not_iterable = F.concat(F.lit("argument of type '"), shape, F.lit("' is not iterable"))
     error = (
-        F.when(F.col("_shape").isin("int", "float", "bool", "NoneType"),
-               F.concat(F.lit("argument of type '"), F.col("_shape"), F.lit("' is not iterable")))
-        .when(F.size("missing") > 0, missing_text)
+        F.when(F.size("missing") > 0,
+               F.when(shape.isin("int", "float", "bool", "NoneType"), not_iterable).otherwise(missing_text))
         .when(~valid_types(), invalid_text)
         .when(agent != "str", F.concat(F.lit("'"), agent, F.lit("' object has no attribute 'lower'")))
     )
@@ -114,7 +115,7 @@ def _assess(items: DataFrame, record: str, missing_text: str, invalid_text: str)
         risk_level(F.col("_score")).alias("risk_level"),
     ))
     return (
-        _spread(items, record).withColumn("_shape", shape).withColumn("error", error)
+        _spread(items, record).withColumn("error", error)
         .withColumn("_score", F.when(F.col("error").isNull(), score))
         .select(*items.columns, "missing", "error", prediction.alias("prediction"))
     )
