@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from logsentry.llm import exact_dedup
+from logsentry.llm import exact_dedup, quality
 
 QUERIES = {
     "op4_exact_dedup": exact_dedup.query,
+    "op5_quality_rules": quality.query,
 }
 
 ORACLES = {
     "op4_exact_dedup": exact_dedup.ORACLE,
+    "op5_quality_rules": quality.ORACLE,
 }
