@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from logsentry.llm import exact_dedup, quality
+from logsentry.llm import byte_bpe, exact_dedup, quality, token_counts
 
 QUERIES = {
     "op4_exact_dedup": exact_dedup.query,
     "op5_quality_rules": quality.query,
+    "op8_byte_bpe": byte_bpe.query,
+    "op10_token_counts": token_counts.query,
 }
 
 ORACLES = {
