@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from logsentry.llm import byte_bpe, exact_dedup, quality, token_counts
+from logsentry.llm import byte_bpe, exact_dedup, minhash, quality, token_counts
 
 QUERIES = {
+    "op1_minhash_near_dedup": minhash.query,
     "op4_exact_dedup": exact_dedup.query,
     "op5_quality_rules": quality.query,
     "op8_byte_bpe": byte_bpe.query,
