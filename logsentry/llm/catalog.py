@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from logsentry.llm import byte_bpe, exact_dedup, minhash, quality, token_counts
+from logsentry.llm import byte_bpe, exact_dedup, line_dedup, minhash, quality, token_counts
 
 QUERIES = {
     "op1_minhash_near_dedup": minhash.query,
+    "op3_line_dedup": line_dedup.query,
     "op4_exact_dedup": exact_dedup.query,
     "op5_quality_rules": quality.query,
     "op8_byte_bpe": byte_bpe.query,
@@ -13,6 +14,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_line_dedup": line_dedup.ORACLE,
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op5_quality_rules": quality.ORACLE,
 }
