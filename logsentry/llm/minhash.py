@@ -5,10 +5,10 @@
    exact copies, however many, cost one row.
 2. Nodes whose signatures agree in a whole band share a bucket. Pairs are never made within a bucket.
    Twice, one node is the centre and is paired with the others; accepted links join nodes to
-   components, and a bucket that lies in one component is done. Only what then still differs, within
-   size classes that could hold a similar pair, is paired in full, dealt out by salt.
-   So no link is lost that could join two components, and a group of thousands of copies costs
-   a few rows per copy.
+   components, and a bucket that lies in one component is done. The nodes of buckets that still hold
+   several components are then joined by their rarest shingles, which finds every pair that can reach
+   the threshold and skips what only shares common passages. So no link is lost that could join two
+   components, and a group of thousands of copies costs a few rows per copy.
 3. A pair is compared batch by batch of its signature (BayesLSH). With m of n minima equal and a uniform
    prior, the similarity is Beta(m + 1, n - m + 1); once the chance that it reaches the threshold is below
    ``miss``, the pair is dropped. What survives is decided on the full shingle sets.
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,7 +41,6 @@ HASHES = BANDS * ROWS
 BATCH = 32  # minima compared between two looks at the posterior
 MISS = 1e-5  # chance of dropping a pair that reaches the threshold, at each look
 WORDS, PERCENT = 5, 80
-SALT_ROWS = 2000  # rows of a bucket per salt when it is paired in full
 STARS = 2  # rounds with one centre per bucket
 CACHE = 500_000  # word hashes a task remembers
 BLOCK = 1024  # shingles hashed at a time
@@ -249,26 +248,28 @@ def _star(rows: DataFrame, centre) -> DataFrame:
     return pairs.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
 
 
-def _all_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs of different components in a bucket whose sizes allow the threshold.
+def _rest_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components among the nodes of ``rows`` that can reach the threshold, by their rarest shingles.
 
-    Sizes fall into classes a factor of 100 / percent wide: similar sets are of one class or of neighbours.
-    The rows of a large bucket are dealt over salts on one side and repeated over them on the other.
+    With a set's shingles ordered from rare to common, the first one that two similar sets share lies so early in
+    both that enough can follow it. So the smaller set is looked up by a short prefix and the larger by a longer one:
+    lines and passages that many texts share are common, come last, and make no pairs. Nothing is lost by it.
+    A shingle that occurs once is never shared; it takes a place in the order but is not shuffled again.
     """
-    sized = rows.join(nodes.select("node", "n"), "node").withColumn(
-        "class", F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)))
-    salts = rows.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / SALT_ROWS).cast("int").alias("salts"))
-    sized = sized.join(salts, "bucket")
-    left = sized.select("bucket", "class", F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"),
-                        F.pmod(F.hash("node"), F.col("salts")).alias("salt"))
-    right = sized.select(
-        "bucket", F.explode(F.array(*[F.col("class") + d for d in (-1, 0, 1)])).alias("class"), F.col("node").alias("b"),
-        F.col("label").alias("lb"), F.col("n").alias("nb"), F.sequence(F.lit(0), F.col("salts") - 1).alias("every"),
-    ).withColumn("salt", F.explode("every")).drop("every")
-    pairs = left.join(right, ["bucket", "class", "salt"]).filter(
-        (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb"))
-        & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
-    return pairs.select("a", "b").distinct()
+    members = rows.select("node", "label").distinct()
+    each = sets.join(members, "node").select("node", "label", F.size("set").alias("n"), F.explode("set").alias("s"))
+    common = each.groupBy("s").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    rare_first = Window.partitionBy("node").orderBy("c", "s")
+    placed = each.join(common, "s").withColumn(
+        "place", F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("node")) + F.row_number().over(rare_first) - 1)
+    placed = pin(placed.filter(F.col("place") <= F.col("n") - F.ceil(percent * F.col("n") / 100)).drop("c"), "prefixes")
+    small = placed.filter(F.col("place") <= F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)))
+    x, y = small.alias("x"), placed.alias("y")
+    left = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    pairs = x.join(y, F.expr("x.s = y.s AND (x.n < y.n OR x.n = y.n AND x.node < y.node) AND x.label <> y.label")
+                   & (100 * F.col("x.n") >= percent * F.col("y.n"))
+                   & ((100 + percent) * left >= percent * (F.col("x.n") + F.col("y.n"))))
+    return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
 def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -310,7 +311,7 @@ def near_duplicates(
         mixed = _mixed(in_buckets, labels)
         if labels is not None and mixed.isEmpty():
             break
-        pairs = _all_pairs(mixed, nodes, percent) if step == STARS else _star(mixed, (F.min, F.max)[step % 2])
+        pairs = _rest_pairs(mixed, sets, percent) if step == STARS else _star(mixed, (F.min, F.max)[step % 2])
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = pin(pairs, "pairs")
