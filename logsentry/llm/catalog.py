@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from logsentry.llm import byte_bpe, exact_dedup, line_dedup, minhash, quality, token_counts
+from logsentry.llm import byte_bpe, exact_dedup, line_dedup, minhash, mixing, quality, sharding, token_counts
 
 QUERIES = {
     "op1_minhash_near_dedup": minhash.query,
     "op3_line_dedup": line_dedup.query,
     "op4_exact_dedup": exact_dedup.query,
     "op5_quality_rules": quality.query,
+    "op7_mixing": mixing.query,
     "op8_byte_bpe": byte_bpe.query,
+    "op9_sharding": sharding.query,
     "op10_token_counts": token_counts.query,
 }
 
