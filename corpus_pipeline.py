@@ -1,10 +1,74 @@
-"""From raw documents to token ids."""
+"""From raw documents to token ids: quality rules, line dedup, near-dedup, mixing, encoding.
+
+Each stage takes the documents its predecessor kept, as written parquet, and all but the last return the columns of
+documents. Quality rules drop documents; line dedup takes later copies of repeated line runs out of texts (a document may
+be left empty; it is then no copy of anything and is not taken by the mix); near-dedup keeps the document with the smallest id of each
+group; mixing puts documents in the order of training, some twice; encoding gives their token ids. SQL cannot express
+the signatures, the curriculum and the merges, so the run is tested against plain Python on a small table.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from logsentry.llm.byte_bpe import round_trip
+from logsentry.llm.line_dedup import drop_repeated_lines
+from logsentry.llm.minhash import drop_near_duplicates
+from logsentry.llm.mixing import mix
+from logsentry.llm.quality import filter_quality
+from logsentry.session import pin
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """``n_chars`` of texts that may have changed."""
+    return docs.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass every quality rule."""
+    return filter_quality(docs)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without later copies of repeated line runs."""
+    return _counted(drop_repeated_lines(docs))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return drop_near_duplicates(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents in the order and as often as the mix takes them."""
+    return _counted(mix(docs))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, n_tokens, ids_sha256 and decoded_sha256 of every row of the mix."""
+    import public_tokenizers
+
+    given = docs.select("doc_id", "source", "text")
+    return round_trip(given, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("minhash_near_dedup", near_duplicates),
+    ("mixing", mixing),
+    ("byte_bpe", encoding),
+]
+
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents, each written and read again before the next."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = pin(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

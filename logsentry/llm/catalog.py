@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from logsentry.llm import byte_bpe, exact_dedup, line_dedup, minhash, mixing, quality, sharding, token_counts
+from logsentry.llm import byte_bpe, exact_dedup, line_dedup, minhash, mixing, quality, sharding, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_minhash_near_dedup": minhash.query,
+    "op2_url_filter": url_filter.query,
     "op3_line_dedup": line_dedup.query,
     "op4_exact_dedup": exact_dedup.query,
     "op5_quality_rules": quality.query,
+    "op6_toxicity": toxicity.query,
     "op7_mixing": mixing.query,
     "op8_byte_bpe": byte_bpe.query,
     "op9_sharding": sharding.query,

@@ -327,6 +327,14 @@ def near_duplicates(
     return out.withColumn("kept", F.col("key").eqNullSafe(F.col("component_id"))).withColumnRenamed("key", key)
 
 
+def drop_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
+                         percent: int = PERCENT) -> DataFrame:
+    """The rows of ``df``, all columns, whose key is the smallest of its group. Rows that share a key stay or go together."""
+    found = near_duplicates(df, key, text, words, percent)
+    gone = pin(found.groupBy(col(key).alias("gone")).agg(F.max("kept").alias("kept")).filter("NOT kept").select("gone"), "gone")
+    return df.join(broadcast_if_small(gone), col(key).eqNullSafe(F.col("gone")), "left_anti")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents over shingles of four words."""
     return near_duplicates(documents(spark, sf_dir), words=4)
