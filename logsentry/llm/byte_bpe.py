@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logsentry.llm.pretokens import in_blocks, slices
-from logsentry.llm.text import arrow_rows, col, documents
+from logsentry.llm.text import arrow_rows, col, documents, map_batches
 from logsentry.llm.token_counts import CACHE, MAX_VOCABULARY, merged
 
 LONG_PIECE = 48  # bytes from which the heap beats scanning all pairs
@@ -167,7 +167,7 @@ def encode(df: DataFrame, ranks: str, text: str = "text") -> DataFrame:
                      pa.ListArray.from_arrays(rows, pa.array(ids)), pa.ListArray.from_arrays(rows, pa.array(offsets))],
                     [*kept, "ids", "offsets"])
 
-    return given.mapInArrow(run, schema)
+    return map_batches(given, run, schema)
 
 
 def decode(df: DataFrame, ranks: str, name: str = "decoded") -> DataFrame:
@@ -185,7 +185,7 @@ def decode(df: DataFrame, ranks: str, name: str = "decoded") -> DataFrame:
             decoded = pa.Array.from_buffers(pa.large_binary(), len(batch), [None, pa.py_buffer(begin.astype(np.int64)), pa.py_buffer(data)])
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], decoded.cast(pa.binary())], [*kept, name])
 
-    return given.mapInArrow(run, schema)
+    return map_batches(given, run, schema)
 
 
 def round_trip(df: DataFrame, ranks: str, text: str = "text") -> DataFrame:

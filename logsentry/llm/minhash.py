@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logsentry.llm.graph import components
-from logsentry.llm.text import arrow_rows, col, documents
+from logsentry.llm.text import arrow_rows, col, documents, fresh
 from logsentry.session import broadcast_if_small, pin
 
 BANDS, ROWS = 32, 6
@@ -331,8 +331,9 @@ def drop_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text",
                          percent: int = PERCENT) -> DataFrame:
     """The rows of ``df``, all columns, whose key is the smallest of its group. Rows that share a key stay or go together."""
     found = near_duplicates(df, key, text, words, percent)
-    gone = pin(found.groupBy(col(key).alias("gone")).agg(F.max("kept").alias("kept")).filter("NOT kept").select("gone"), "gone")
-    return df.join(broadcast_if_small(gone), col(key).eqNullSafe(F.col("gone")), "left_anti")
+    name = fresh(df, "gone")
+    gone = pin(found.groupBy(col(key).alias(name)).agg(F.max("kept").alias("kept")).filter("NOT kept").select(name), "gone")
+    return df.join(broadcast_if_small(gone), col(key).eqNullSafe(F.col(name)), "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

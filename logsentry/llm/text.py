@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # White space is the space and U+0009 to U+000D; a word is a longest run of anything else.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -40,6 +42,14 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def packed(df: DataFrame, row: str = "row") -> Column:
     """All columns as one struct, so that added columns cannot clash with them."""
     return F.struct(*[col(c) for c in df.columns]).alias(row)
@@ -60,5 +70,15 @@ def arrow_rows(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def map_batches(df: DataFrame, run: Callable, schema: T.StructType) -> DataFrame:
+    """``mapInArrow`` by place instead of by name, for columns of any names."""
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(batches):
+            yield batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
+
+    placed = T.StructType([T.StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate(schema.fields)])
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(renamed, placed).toDF(*schema.names)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

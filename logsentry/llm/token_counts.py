@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logsentry.llm.pretokens import in_blocks, slices
-from logsentry.llm.text import arrow_rows, col, documents
+from logsentry.llm.text import arrow_rows, col, documents, map_batches
 
 LIMIT = 512  # tokens a text may have before it is marked
 CACHE = 500_000  # pieces a task remembers
@@ -165,7 +165,7 @@ def token_counts(df: DataFrame, vocabulary: str, text: str = "text", name: str =
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(kept)], pa.array(totals, pa.int64())], [*kept, name])
 
-    return given.mapInArrow(count, schema)
+    return map_batches(given, count, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logsentry.llm.text import arrow_rows, col, documents
+from logsentry.llm.text import arrow_rows, col, documents, map_batches
 from logsentry.session import BROADCAST_ROWS, pin
 
 FEATURES = 4096  # inputs of the model
@@ -240,7 +240,7 @@ def score(df: DataFrame, model: Model, text: str = "text", name: str = "score")
             chance = 1 / (1 + np.exp(-np.clip(np.array(odds, float), -500, 500)))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(chance, pa.float64())], [*kept, name])
 
-    return given.mapInArrow(run, schema)
+    return map_batches(given, run, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
