@@ -20,7 +20,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsentry.llm.text import SPACE, col, documents, let, words
+from logsentry.llm.text import WORD, col, documents, let, words
 from logsentry.session import pin
 
 WINDOW = 5  # words of a repeated sequence
@@ -79,7 +79,7 @@ def n_symbols(text: Column) -> Column:
 
 
 def lines_with_words(text: Column) -> Column:
-    return F.filter(F.split(text, "\n"), lambda x: F.trim(F.regexp_replace(x, SPACE, " ")) != "")
+    return F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
 
 
 def n_dup_lines(text: Column) -> Column:
