@@ -50,9 +50,13 @@ class DigestIndex:
         )
 
     def unseen(self, batch: DataFrame) -> DataFrame:
-        """One row per digest of the batch that the index lacks: the row with the largest key."""
+        """One row per digest of the batch that the index lacks: the row with the largest key.
+
+        The reduced batch is written first: read back it has no partitioning of its own, so it is the side that is
+        dealt to the buckets, and the index stays where it is.
+        """
         best = batch.groupBy("digest").agg(F.max(F.struct("key", "rid")).alias("best"))
-        new = best.select("digest", "best.key", "best.rid").repartition(self.buckets, "digest")
+        new = pin(best.select("digest", "best.key", "best.rid"), "batch")
         known = self.spark.table(self.table).select("digest").hint("merge")
         return new.join(known, "digest", "left_anti")
 

@@ -76,8 +76,11 @@ def apply_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 def names(urls: DataFrame) -> DataFrame:
     """(host, path, part, name): the runs of letters and of digits, part h or p. Digits are all one name, ``#``."""
-    each = [F.transform(F.regexp_extract_all(F.lower(c), F.lit(_NAME), 1), lambda x, p=p: F.struct(F.lit(p).alias("part"), F.when(
-        x.rlike(r"^\p{N}"), F.lit("#")).otherwise(x).alias("name"))) for c, p in (("host", "h"), ("path", "p"))]
+    def runs(part: str, value: Column) -> Column:
+        return F.transform(F.regexp_extract_all(F.lower(value), F.lit(_NAME), 1), lambda x: F.struct(
+            F.lit(part).alias("part"), F.when(x.rlike(r"^\p{N}"), F.lit("#")).otherwise(x).alias("name")))
+
+    each = [runs("h", F.col("host")), runs("p", F.col("path"))]
     return urls.select("host", "path", F.explode(F.concat(*each)).alias("n")).select("host", "path", "n.*")
 
 
