@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 # counted before they are hinted; above this the join is left to AQE.
 BROADCAST_ROWS = 1_000_000
 
+_written: list[str] = []  # tables this process pinned, in order
+
 
 def build_session(app: str = "logsentry", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators expect; the cluster's own settings win elsewhere."""
@@ -65,15 +67,31 @@ def pin(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
     must not change between two evaluations.
     """
     spark = df.sparkSession
-    path = path or scratch_path(spark, tag)
+    if path is None:
+        path = scratch_path(spark, tag)
+        _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written() -> list[str]:
+    """Paths of the scratch tables this process pinned so far and has not dropped."""
+    return list(_written)
+
+
+def drop(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables that nothing needs any more."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _written.remove(name)
+
+
 def release(spark: SparkSession) -> None:
     """Delete the tables this application pinned. Call when none of them is needed any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/logsentry/{spark.sparkContext.applicationId}")
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _written.clear()
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -106,3 +106,15 @@ def test_alerts_close_with_the_watermark(spark, tmp_path):
     want = score_logs(logs).groupBy(hour.alias("h"), "risk_level").count().collect()
     assert {(r.window_start, r.risk_level): r.n for r in got} == {
         (r.h, r.risk_level): r["count"] for r in want if r.h + dt.timedelta(hours=1) <= last}
+
+
+def test_dropped_tables_are_gone(spark):
+    from logsentry.session import drop, pin, written
+
+    kept, gone = pin(spark.range(3), "kept"), pin(spark.range(3), "gone")
+    path = written()[-1]
+    drop(spark, [path])
+    assert path not in written() and kept.count() == 3 and "gone" in path
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    assert gone.schema == kept.schema
