@@ -1,7 +1,8 @@
 """From raw documents to token ids: quality rules, line dedup, near-dedup, mixing, encoding.
 
 Each stage takes the documents its predecessor kept, as written parquet, and all but the last return the columns of
-documents. Quality rules drop documents; line dedup takes later copies of repeated line runs out of texts (a document may
+documents. As a stage starts only when its predecessor's result is written, it first deletes the scratch tables that
+the predecessor's plan read, so the shared folder never holds more than one stage's. Quality rules drop documents; line dedup takes later copies of repeated line runs out of texts (a document may
 be left empty; it is then no copy of anything and is not taken by the mix); near-dedup keeps the document with the smallest id of each
 group; mixing puts documents in the order of training, some twice; encoding gives their token ids. SQL cannot express
 the signatures, the curriculum and the merges, so the run is tested against plain Python on a small table.
@@ -9,6 +10,7 @@ the signatures, the curriculum and the merges, so the run is tested against plai
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +21,23 @@ from logsentry.llm.line_dedup import drop_repeated_lines
 from logsentry.llm.minhash import drop_near_duplicates
 from logsentry.llm.mixing import mix
 from logsentry.llm.quality import filter_quality
-from logsentry.session import pin
+from logsentry.session import drop, pin, written
+
+_scratch: list[str] = []  # tables the stage before has pinned
+
+
+def _stage(function: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage, after deleting what the stage before has left in the shared folder."""
+    @functools.wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        live = set(written())
+        drop(spark, [p for p in _scratch if p in live])
+        before = set(written())
+        out = function(spark, docs, sf_dir)
+        _scratch[:] = [p for p in written() if p not in before]
+        return out
+
+    return run_stage
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -27,26 +45,31 @@ def _counted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else docs
 
 
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass every quality rule."""
     return filter_quality(docs)
 
 
+@_stage
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of repeated line runs."""
     return _counted(drop_repeated_lines(docs))
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     return drop_near_duplicates(docs)
 
 
+@_stage
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in the order and as often as the mix takes them."""
     return _counted(mix(docs))
 
 
+@_stage
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, ids_sha256 and decoded_sha256 of every row of the mix."""
     import public_tokenizers
