@@ -30,7 +30,7 @@ from logsentry.llm.text import arrow_rows, col, documents, map_batches
 from logsentry.session import BROADCAST_ROWS, pin
 
 FEATURES = 4096  # inputs of the model
-TRAIN_ROWS = 100_000  # labelled rows the regression is fitted on, at most; counts cover all
+TRAIN_ROWS = 20_000  # labelled rows the regression is fitted on, at most; counts cover all
 MIN_DOCS = 4  # labelled rows a feature must occur in
 BEGINNINGS = (4, 5, 6)
 COUNTERFACTUAL = 5.0
@@ -174,7 +174,8 @@ def vectors(rows: DataFrame, features: dict[str, int], identity: Sequence[Sequen
 
 def _flat(lists: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
     sizes = [len(x) for x in lists]
-    return np.repeat(np.arange(len(lists)), sizes), np.fromiter((i for x in lists for i in x), np.int64, sum(sizes))
+    return (np.repeat(np.arange(len(lists), dtype=np.int32), sizes),
+            np.fromiter((i for x in lists for i in x), np.int32, sum(sizes)))
 
 
 def fit(inputs: list[list[int]], labels: np.ndarray, others: list[list[list[int]]], size: int,
