@@ -4,15 +4,18 @@ Each stage takes the documents its predecessor kept, as written parquet, and all
 documents. As a stage starts only when its predecessor's result is written, it first deletes the scratch tables that
 the predecessor's plan read, so the shared folder never holds more than one stage's. Quality rules drop documents; line dedup takes later copies of repeated line runs out of texts (a document may
 be left empty; it is then no copy of anything and is not taken by the mix); near-dedup keeps the document with the smallest id of each
-group; mixing puts documents in the order of training, some twice; encoding gives their token ids. SQL cannot express
-the signatures, the curriculum and the merges, so the run is tested against plain Python on a small table.
+group; mixing puts documents in the order of training, some twice; encoding gives their token ids and their places in
+that order, which is that of mixing's part files and of the rows in them: reading them again does not keep it. SQL
+cannot express the signatures, the curriculum and the merges, so the run is tested against plain Python on a small table.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +48,21 @@ def _counted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else docs
 
 
+def placed(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of a written table, and ``position``: the place of each row, from 0, in the order it was written in.
+
+    Tasks number their part files, and a task that writes several numbers them too. Only one row per file reaches the driver.
+    """
+    told = docs.metadataColumn("_metadata")
+    given = docs.select(*columns, told["file_name"].alias("_file"), told["row_index"].alias("_row"))
+    rows = {r[0]: r[1] for r in given.groupBy("_file").agg(F.count(F.lit(1))).collect()}
+    files = sorted(rows, key=lambda f: [int(n) for n in re.search(r"part-(\d+).*?(?:-c(\d+))?\.", f).groups(default="0")])
+    before = [sum(rows[f] for f in files[:k]) for k in range(len(files))]
+    table = docs.sparkSession.createDataFrame(pa.table({
+        "_file": pa.array(files, pa.string()), "_before": pa.array(before, pa.int64())}))
+    return given.join(F.broadcast(table), "_file").select(*columns, (F.col("_before") + F.col("_row")).alias("position"))
+
+
 @_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass every quality rule."""
@@ -71,10 +89,11 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, n_tokens, ids_sha256 and decoded_sha256 of every row of the mix."""
+    """doc_id, source, position, n_tokens, ids_sha256 and decoded_sha256 of every row of the mix; ``position`` counts the
+    rows of the mix from 0 in the order of training."""
     import public_tokenizers
 
-    given = docs.select("doc_id", "source", "text")
+    given = placed(docs, "doc_id", "source", "text")
     return round_trip(given, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 

@@ -2,7 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from logsentry.llm import sharding
+import corpus_pipeline
+from logsentry.llm import mixing, sharding
+from logsentry.session import pin
+from tests.conftest import SF
 
 
 def test_a_large_group_fills_shards(spark):
@@ -12,3 +15,23 @@ def test_a_large_group_fills_shards(spark):
     got = sharding.shard_documents(docs, shards=8).filter("doc_id % 3 = 0").groupBy("shard").count().collect()
     held = sorted((r["count"] for r in got), reverse=True)
     assert sum(held) == 1000 and len(held) == 3 and held[0] - held[1] <= 2
+
+
+def test_the_pipeline_keeps_the_order_of_training(spark):
+    """The places that encoding gives follow op7's positions over several part files."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    docs = pin(spark.range(600).select(
+        F.col("id").alias("doc_id"), F.element_at(F.array(*map(F.lit, "abc")), (F.col("id") % 3 + 1).cast("int")).alias("source"),
+        F.repeat(F.concat(F.lit("w"), F.col("id").cast("string"), F.lit(" ")), (F.col("id") % 50 + 1).cast("int")).alias("text")), "test-docs")
+    kept = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        mixed = pin(corpus_pipeline.mixing(spark, docs, SF), "test-mixed")
+    finally:
+        spark.conf.set(key, kept)
+    assert len(mixed.inputFiles()) > 3
+    at = {r["key"]: [p["position"] for p in r["passes"]] for r in mixing.allocate(docs).collect()}
+    rows = corpus_pipeline.encoding(spark, mixed, SF).collect()
+    assert sorted(r["position"] for r in rows) == list(range(len(rows)))
+    order = [at[r["doc_id"]].pop(0) for r in sorted(rows, key=lambda r: r["position"])]
+    assert order == sorted(order) and not any(at.values())
