@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logsentry.llm.graph import components
-from logsentry.llm.text import arrow_rows, col, documents, fresh
+from logsentry.llm.text import arrow_rows, col, documents, packed, unpacked
 from logsentry.session import broadcast_if_small, pin
 
 BANDS, ROWS = 32, 6
@@ -112,13 +112,13 @@ def _batched(texts: list[str], characters: int = 1 << 20) -> Iterator[tuple[int,
             start, held = i + 1, 0
 
 
-def signed(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """(key, rid, n_shingles, digest, sig) of every row, written once. ``rid`` numbers the rows."""
+def signed(df: DataFrame, key: str, text: str, words: int, rid: str | None = None) -> DataFrame:
+    """(key, rid, n_shingles, digest, sig) of every row, written once. ``rid`` numbers the rows, unless a column of ``df`` does."""
     arrow_rows(df.sparkSession)
-    given = df.select(col(key).alias("key"), F.coalesce(col(text), F.lit("")).alias("text"))
+    given = df.select(col(key).alias("key"), F.coalesce(col(text), F.lit("")).alias("text"), *([col(rid).alias("rid")] if rid else []))
     schema = T.StructType([
         given.schema["key"], T.StructField("n_shingles", T.LongType()), T.StructField("digest", T.BinaryType()),
-        T.StructField("sig", T.BinaryType()),
+        T.StructField("sig", T.BinaryType()), *given.schema.fields[2:],
     ])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,10 +132,11 @@ def signed(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
                     digests.append(xxhash.xxh3_128_digest(s.tobytes()))
                     sigs.append(signature(s).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.binary())],
-                ["key", "n_shingles", "digest", "sig"])
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.binary()), *batch.columns[2:]],
+                schema.names)
 
-    return pin(given.mapInArrow(sign, schema).withColumn("rid", F.monotonically_increasing_id()), "signed")
+    out = given.mapInArrow(sign, schema)
+    return pin(out if rid else out.withColumn("rid", F.monotonically_increasing_id()), "signed")
 
 
 def buckets(nodes: DataFrame) -> DataFrame:
@@ -286,15 +287,9 @@ def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     return pin(again.unionByName(fresh), "labels")
 
 
-def near_duplicates(
-    df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
-) -> DataFrame:
-    """Every row's component of near duplicates.
-
-    Columns: key (under its own name), n_shingles, component_id (the smallest key reachable, its own included), kept
-    (key = component_id). Two rows are linked where 100 * common >= percent * united shingles of ``words`` words.
-    """
-    rows = signed(df, key, text, words)
+def _components(df: DataFrame, key: str, text: str, words: int, percent: int, rid: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The signed rows, and (digest, label, component_id) of their sets of shingles."""
+    rows = signed(df, key, text, words, rid)
     reps = rows.filter("n_shingles > 0").groupBy("digest").agg(
         F.min("rid").alias("node"), F.min("key").alias("least"))
     nodes = pin(
@@ -321,19 +316,37 @@ def near_duplicates(
     of_digest = reps.join(labels, "node", "left").select(
         "digest", "least", F.coalesce("label", "node").alias("label"))
     smallest = of_digest.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = pin(of_digest.join(smallest, "label").select("digest", "component_id"), "components")
-    out = rows.select("key", "n_shingles", "digest").join(named, "digest", "left").select(
+    return rows, pin(of_digest.join(smallest, "label").select("digest", "label", "component_id"), "components")
+
+
+def near_duplicates(
+    df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """Every row's component of near duplicates.
+
+    Columns: key (under its own name), n_shingles, component_id (the smallest key reachable, its own included), kept
+    (key = component_id). Two rows are linked where 100 * common >= percent * united shingles of ``words`` words.
+    """
+    rows, named = _components(df, key, text, words, percent)
+    out = rows.select("key", "n_shingles", "digest").join(named.drop("label"), "digest", "left").select(
         "key", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("key")).otherwise(F.col("component_id")).alias("component_id"))
     return out.withColumn("kept", F.col("key").eqNullSafe(F.col("component_id"))).withColumnRenamed("key", key)
 
 
 def drop_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
                          percent: int = PERCENT) -> DataFrame:
-    """The rows of ``df``, all columns, whose key is the smallest of its group. Rows that share a key stay or go together."""
-    found = near_duplicates(df, key, text, words, percent)
-    name = fresh(df, "gone")
-    gone = pin(found.groupBy(col(key).alias(name)).agg(F.max("kept").alias("kept")).filter("NOT kept").select(name), "gone")
-    return df.join(broadcast_if_small(gone), col(key).eqNullSafe(F.col(name)), "left_anti")
+    """One row of ``df``, all columns, of each group: that with the smallest key (null last), of these the first.
+
+    Rows without shingles are copies of nothing and stay.
+    """
+    given = pin(df.select(F.monotonically_increasing_id().alias("rid"), packed(df)), "rows")
+    told = given.select("rid", *[F.col("row").getField(c).alias(n) for c, n in ((key, "key"), (text, "text"))])
+    rows, named = _components(told, "key", "text", words, percent, "rid")
+    alike = rows.filter("n_shingles > 0")
+    least = alike.groupBy("digest").agg(F.min(F.struct(F.col("key").isNull().alias("null"), "key", "rid")).alias("least"))
+    stay = least.join(named, "digest").groupBy("label").agg(F.min("least").alias("least")).select(F.col("least.rid").alias("rid"))
+    gone = pin(alike.select("rid").join(stay, "rid", "left_anti"), "gone")
+    return unpacked(given.join(broadcast_if_small(gone), "rid", "left_anti"), df.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

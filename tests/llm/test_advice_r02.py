@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from logsentry.llm import mixing, sharding
+from logsentry.llm import minhash, mixing, sharding
 from logsentry.session import pin
 from tests.conftest import SF
 
@@ -35,3 +35,13 @@ def test_the_pipeline_keeps_the_order_of_training(spark):
     assert sorted(r["position"] for r in rows) == list(range(len(rows)))
     order = [at[r["doc_id"]].pop(0) for r in sorted(rows, key=lambda r: r["position"])]
     assert order == sorted(order) and not any(at.values())
+
+
+def test_one_row_of_a_group_stays(spark):
+    """Also where rows repeat a key or have none."""
+    text = {n: " ".join(f"{n}{i}" for i in range(60)) for n in "abcd"}
+    rows = [(1, text["a"]), (1, text["a"]), (2, text["a"]), (None, text["a"]), (None, text["b"]), (None, text["b"] + " more"),
+            (3, text["c"]), (3, text["d"]), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"], (r["text"] or "")[:2]) for r in minhash.drop_near_duplicates(df).collect()), key=repr)
+    assert got == sorted([(1, "a0"), (None, "b0"), (3, "c0"), (3, "d0"), (None, ""), (None, "")], key=repr)
