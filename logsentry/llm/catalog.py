@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from logsentry.llm import byte_bpe, exact_dedup, line_dedup, minhash, mixing, quality, sharding, token_counts, toxicity, url_filter
+from logsentry.llm import (
+    byte_bpe, exact_dedup, line_dedup, merkle, minhash, mixing, periodic, quality, secret_scan, sharding, token_counts, toxicity, url_filter,
+)
 
 QUERIES = {
     "op1_minhash_near_dedup": minhash.query,
@@ -15,6 +17,9 @@ QUERIES = {
     "op8_byte_bpe": byte_bpe.query,
     "op9_sharding": sharding.query,
     "op10_token_counts": token_counts.query,
+    "op11_periodic_runs": periodic.query,
+    "op12_secret_scan": secret_scan.query,
+    "op13_merkle_manifest": merkle.query,
 }
 
 ORACLES = {

@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from logsentry.llm import byte_bpe, exact_dedup, line_dedup, minhash, mixing, quality, sharding, token_counts, toxicity, url_filter
+from logsentry.llm import (
+    byte_bpe, exact_dedup, line_dedup, merkle, minhash, mixing, periodic, quality, secret_scan, sharding, token_counts, toxicity, url_filter,
+)
 from tests.llm import plain
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -113,6 +115,26 @@ def test_scores(spark, docs):
     assert len(rows) == len(ROWS) and all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_periods(docs):
+    got = periodic.periodic_runs(docs)
+    assert [c for c in got.columns if c not in ("runs", "collapsed")] == [c for c in docs.columns if c != "text"]
+    assert pairs(got, "doc_id", "runs", "collapsed") == sorted(((k, [], " ".join(plain.words(t))) for k, t, _ in ROWS), key=repr)
+
+
+def test_secrets(docs):
+    got = secret_scan.scan(docs)
+    assert [c for c in got.columns if c != "spans"] == [c for c in docs.columns if c != "text"]
+    assert {len(r["spans"]) for r in got.collect()} == {0}
+
+
+def test_manifest(docs):
+    fields = ["doc_id", "source", "text", "a.b"]
+    manifest = merkle.build(docs, fields, group="source")
+    rows = merkle.prove(manifest, manifest.ranks).withColumn("root", merkle.fold(F.col("leaf"), F.col("path"))).collect()
+    assert len(rows) == len(ROWS) and all(r["root"] == manifest.root and r["request"]["leaf"] == r["leaf"] for r in rows)
+    assert sorted(r["leaf"] for r in rows) == sorted(plain.merkle_leaf((k, s, t, "mine")) for k, t, s in ROWS)
+
+
 def test_urls(spark):
     rows = [(1, None), (2, ""), (3, "no mark"), (4, "http://"), (None, "HTTP://A.Example.NET/en/x?q#f"), (6, "x://a.net"), (6, "x://a.net"),
             (7, "x://É.net/" + "ab" * 3000), (8, "x://example.com/de/"), (9, "x://b.org/fr/y"), (10, "a://b://c/d")]
@@ -131,6 +153,8 @@ EMPTY = {
     "encode": lambda d: byte_bpe.round_trip(d, RANKS), "count": lambda d: token_counts.token_counts(d, VOCABULARY),
     "mix": lambda d: mixing.mix(d), "shards": lambda d: sharding.shard_documents(d),
     "scores": lambda d: toxicity.score(d, toxicity.train(toxicity.labelled(d, d.withColumn("toxic", F.lit(1))))),
+    "periods": lambda d: periodic.periodic_runs(d), "secrets": lambda d: secret_scan.scan(d),
+    "manifest": lambda d: merkle.prove((m := merkle.build(d, group="source", fields=("doc_id", "text"))), m.ranks),
     "urls": lambda d: url_filter.judge(d, d, url="text", key="doc_id"),
 }
 
