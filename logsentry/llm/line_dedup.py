@@ -5,9 +5,8 @@ occurs once or the text ends. A suffix is a place in a text and everything from
 
 * Ranks by the first line are places of the hashes in their order. Prefix doubling ranks suffixes by 2, 4, 8, ...
   lines: a suffix's next rank is that of (its rank, the rank as many lines further on). The distinct pairs are
-  counted map-side and ranked over ranges, so a line that makes up a third of all lines is one row there. Doubling
-  ends when no pair of a round tells suffixes apart that were equal before, or, where runs of ``min_lines`` lines are
-  all that is asked for, once it ranks by so many lines: what follows further on cannot change an interval of that depth.
+  counted map-side and ranked over ranges, so a line that makes up a third of all lines is one row there. A place whose rank no
+  other has, or whose run has ended, is settled: later rounds only touch the others, and doubling ends when none is left.
 * Equal ranks are one entry of the suffix array. The longest common prefix of neighbours is found by descending
   through the rounds' ranks: where both have one rank, both step on by the round's length.
 * Neighbours whose common prefix has at least ``min_lines`` lines form an interval: the occurrences of a repeated
@@ -22,6 +21,9 @@ order. Rows that repeat a key, or a whole row, are separate texts in a fixed ord
 
 from __future__ import annotations
 
+from functools import reduce
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -54,8 +56,8 @@ def _ranks(counted: DataFrame, keys: list[str]) -> DataFrame:
     return pin(run.select(*keys, (F.col("cum_c") - F.col("c")).alias("rank")), "ranks")
 
 
-def first_ranks(told: DataFrame) -> tuple[DataFrame, int]:
-    """Places (rid, key, i, ln, words, left, r) of lines that occur twice or more, and how many ranks they have.
+def first_ranks(told: DataFrame) -> DataFrame:
+    """Places (rid, key, i, ln, words, left, r) of lines that occur twice or more.
 
     ``left``: lines to the end of the run.
     """
@@ -64,34 +66,44 @@ def first_ranks(told: DataFrame) -> tuple[DataFrame, int]:
     in_text = Window.partitionBy("rid").orderBy("i")
     run = places.withColumn("run", F.col("i") - F.row_number().over(in_text))
     return pin(run.withColumn("left", F.max("i").over(Window.partitionBy("rid", "run")) - F.col("i") + 1).drop("run"),
-               "places"), ranks.count()
-
-
-def doubled(places: DataFrame, ranks: int, depth: int | None = None) -> list[DataFrame]:
-    """Ranks (rid, i, r) of all places by 1, 2, 4, ... lines, until a round parts none that were equal.
-
-    With ``depth`` the rounds end as soon as they rank by that many lines: order and common prefixes are then exact so far.
-    """
-    rounds = [places.select("rid", "i", "r")]
-    while depth is None or 1 << (len(rounds) - 1) < depth:
-        step = 1 << (len(rounds) - 1)
-        ahead = Window.partitionBy("rid").orderBy("i").rangeBetween(step, step)
-        pairs = rounds[-1].withColumn("then", F.coalesce(F.max("r").over(ahead) + 1, F.lit(0)))
-        pairs = pin(pairs, "pairs")
-        found = _ranks(pairs.groupBy("r", "then").agg(F.count(F.lit(1)).alias("c")), ["r", "then"])
-        before, ranks = ranks, found.count()
-        if ranks == before:
-            break
-        rounds.append(pin(pairs.join(broadcast_if_small(found), ["r", "then"]).select(
-            "rid", "i", F.col("rank").alias("r")), "round"))
-    return rounds
-
-
-def suffix_array(places: DataFrame, rounds: list[DataFrame]) -> DataFrame:
+               "places")
+
+
+class Doubled(NamedTuple):
+    """``final``: (key, rid, i, left, r), the ranks of all places by their whole runs. ``rounds``: (rid, i, r) by 1, 2, 4, ... lines, of those
+    places that have so many lines and share them with another place."""
+
+    final: DataFrame
+    rounds: list[DataFrame]
+
+
+def doubled(places: DataFrame) -> Doubled:
+    """Prefix doubling until every place is settled."""
+    open_ = places.select("key", "rid", "i", "left", "r")
+    settled, rounds = [], []
+    while not open_.isEmpty():
+        step = 1 << len(rounds)
+        rounds.append(open_.select("rid", "i", "r"))
+        known = reduce(DataFrame.unionByName, [*settled, open_]).select("rid", F.col("i").alias("there"), F.col("r").alias("ahead"))
+        pairs = open_.withColumn("there", F.col("i") + step).join(known, ["rid", "there"], "left").drop("there")
+        pairs = pin(pairs.withColumn("then", F.when(F.col("left") > step, F.col("ahead") + 1).otherwise(F.lit(0))).drop("ahead"), "pairs")
+        counted = pairs.groupBy("r", "then").agg(F.count(F.lit(1)).alias("c"))
+        run = pin(prefix_sum(counted, ["r", "then"], ["c"]).select("r", "then", "c", (F.col("cum_c") - F.col("c")).alias("before")), "run")
+        # A rank is the number of places before it: places of one rank part within the room that they had.
+        first = run.groupBy("r").agg(F.min("before").alias("first"))
+        found = pin(run.join(broadcast_if_small(pin(first, "first")), "r").select(
+            "r", "then", (F.col("r") + F.col("before") - F.col("first")).alias("rank"), "c"), "ranks")
+        ranked = pin(pairs.join(broadcast_if_small(found), ["r", "then"]).select(
+            "key", "rid", "i", "left", F.col("rank").alias("r"), ((F.col("c") == 1) | (F.col("then") == 0)).alias("done")), "round")
+        settled.append(ranked.filter("done").drop("done"))
+        open_ = ranked.filter("NOT done").drop("done")
+    return Doubled(reduce(DataFrame.unionByName, settled) if settled else open_, rounds)
+
+
+def suffix_array(ranked: Doubled) -> DataFrame:
     """Entries (r, c, at, left, lcp) in the order of r: c suffixes of one rank, the first of them at ``at`` (key, rid, i),
     and the lines in common with the entry before."""
-    last = places.drop("r").join(rounds[-1], ["rid", "i"])
-    entries = pin(last.groupBy("r").agg(
+    entries = pin(ranked.final.groupBy("r").agg(
         F.count(F.lit(1)).alias("c"), F.min(F.struct("key", "rid", "i")).alias("at"), F.first("left").alias("left")), "entries")
     state = entries.select(
         F.col("r"), (F.col("r") + F.col("c")).alias("next"), F.col("at.rid").alias("x"), F.col("at.i").alias("xi"), "left",
@@ -99,14 +111,15 @@ def suffix_array(places: DataFrame, rounds: list[DataFrame]) -> DataFrame:
     state = state.alias("p").join(
         entries.select(F.col("r").alias("next"), F.col("at.rid").alias("y"), F.col("at.i").alias("yi")), "next"
     ).withColumn("l", F.lit(0))
-    for k in reversed(range(len(rounds))):
-        ranks = rounds[k]
+    for k in reversed(range(len(ranked.rounds))):
+        todo = state.filter(F.col("left") - F.col("l") >= 1 << k)  # the others have no such run ahead
         for rid, i in (("x", "xi"), ("y", "yi")):
-            there = ranks.select(F.col("rid").alias(rid), F.col("i").alias(f"{i}_"), F.col("r").alias(f"r_{rid}"))
-            state = state.withColumn(f"{i}_", F.col(i) + F.col("l")).join(there, [rid, f"{i}_"], "left").drop(f"{i}_")
+            there = ranked.rounds[k].select(F.col("rid").alias(rid), F.col("i").alias(f"{i}_"), F.col("r").alias(f"r_{rid}"))
+            todo = todo.withColumn(f"{i}_", F.col(i) + F.col("l")).join(there, [rid, f"{i}_"], "left").drop(f"{i}_")
         equal = F.coalesce(F.col("r_x") == F.col("r_y"), F.lit(False))
-        state = pin(state.withColumn("l", F.col("l") + F.when(equal, 1 << k).otherwise(0)).drop("r_x", "r_y"), "lcp")
-    lcp = state.select(F.col("next").alias("r"), F.least("l", "left").alias("lcp"))
+        met = todo.withColumn("l", F.col("l") + F.when(equal, 1 << k).otherwise(0)).drop("r_x", "r_y")
+        state = pin(state.filter(F.col("left") - F.col("l") < 1 << k).unionByName(met), "lcp")
+    lcp = state.select(F.col("next").alias("r"), F.col("l").alias("lcp"))
     return entries.join(lcp, "r", "left").withColumn("lcp", F.coalesce("lcp", F.lit(0)))
 
 
@@ -121,15 +134,15 @@ def intervals(entries: DataFrame, min_lines: int) -> DataFrame:
 
 def later_copies(rows: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """(rid, key, i, ln, run): the lines of all later copies. ``run`` numbers the maximal runs of a text."""
-    places, ranks = first_ranks(lines(rows))
-    rounds = doubled(places, ranks, min_lines)
-    starts = pin(intervals(suffix_array(places, rounds), min_lines), "starts")
+    places = first_ranks(lines(rows))
+    ranked = doubled(places)
+    starts = pin(intervals(suffix_array(ranked), min_lines), "starts")
     alone = places.groupBy("r").agg(F.min(F.struct("key", "rid", "i")).alias("first_line"))
     at = F.struct("key", "rid", "i")
     marked = (
         places.join(broadcast_if_small(pin(alone, "alone")), "r")
         .withColumn("single", (F.col("words") >= min_words) & (at > F.col("first_line"))).drop("r", "first_line")
-        .join(rounds[-1], ["rid", "i"])
+        .join(ranked.final.select("rid", "i", "r"), ["rid", "i"])
         .join(broadcast_if_small(starts), "r", "left")
         .withColumn("starts", (F.col("left") >= min_lines) & F.coalesce(at > F.col("first"), F.lit(False)))
     )

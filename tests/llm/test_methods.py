@@ -101,8 +101,10 @@ def test_suffix_array(spark):
     told = line_dedup.lines(line_dedup.numbered(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text"))
     rank = {r["line"]: (r["h1"], r["h2"]) for r in spark.createDataFrame([("a",), ("b",), ("c",)], "line string").select(
         "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")).collect()}
-    places, ranks = line_dedup.first_ranks(told)
-    entries = line_dedup.suffix_array(places, line_dedup.doubled(places, ranks)).orderBy("r").collect()
+    ranked = line_dedup.doubled(line_dedup.first_ranks(told))
+    entries = line_dedup.suffix_array(ranked).orderBy("r").collect()
+    assert ranked.final.count() == told.count() and all(
+        a.count() >= b.count() for a, b in zip(ranked.rounds, ranked.rounds[1:])) and len(ranked.rounds) >= 3
     suffixes = sorted({tuple(rank[x] for x in t.split("\n")[i:]) for _, t in rows for i in range(len(t.split("\n")))})
     text = dict(rows)
     assert [tuple(rank[x] for x in text[e["at"]["key"]].split("\n")[e["at"]["i"]:]) for e in entries] == suffixes
