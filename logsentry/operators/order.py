@@ -27,16 +27,18 @@ def _ascending(col: str | Column) -> Column:
     return F.col(col).asc_nulls_last() if isinstance(col, str) else col
 
 
-def range_parts(df: DataFrame, order: list[str | Column], tag: str = "ranges") -> DataFrame:
+def range_parts(df: DataFrame, order: list[str | Column], tag: str = "ranges", ranges: int | None = None) -> DataFrame:
     """Rows cut into ordered ranges, with ``_part`` (range number) and ``_pos`` (place in it).
 
+    There are as many ranges as shuffle partitions, or ``ranges`` at most.
+
     ``monotonically_increasing_id`` yields both after the local sort, so no second
     shuffle is needed to number rows. The result is written once: range bounds come
     from a sample and would differ if the plan were evaluated again.
     """
     keys = [_ascending(c) for c in order]
     ranged = (
-        df.repartitionByRange(*keys)
+        df.repartitionByRange(*([ranges] if ranges else []), *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_mid", F.monotonically_increasing_id())
     )

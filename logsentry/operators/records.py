@@ -44,11 +44,15 @@ def parameter_log(
 
 
 def append_log(log: DataFrame, path: str) -> None:
-    """Append to the log table, one directory per run."""
-    log.write.mode("append").partitionBy("run_id").parquet(path)
+    """Add to the log table, one directory per run and, where the log has stages, per stage.
+
+    Written again under one run (and stage), the lines replace those written before; other runs stay.
+    """
+    by = [c for c in ("run_id", "stage") if c in log.columns]
+    log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def compare_runs(log: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """One row per run, one column per metric."""
+    """One row per run, one column per metric; of values of one name from several stages, the largest."""
     pivot = log.groupBy("run_id").pivot("name", names) if names else log.groupBy("run_id").pivot("name")
-    return pivot.agg(F.first("value"))
+    return pivot.agg(F.max("value"))

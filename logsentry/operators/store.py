@@ -35,14 +35,29 @@ def _present(store: DataFrame, keys: DataFrame, key: list[str]) -> DataFrame:
     return store.select(*key).join(broadcast_if_small(_prefixed(keys.select(*key), key)), _same(key), "left_semi").distinct()
 
 
+def first_arrivals(batch: DataFrame, arrival: str, key: list[str]) -> DataFrame:
+    """The first row of each key by the unique column ``arrival``, written once."""
+    return pin(
+        batch.groupBy(*key).agg(F.min_by(F.struct(*batch.columns), arrival).alias("row")).select("row.*"), "insert"
+    )
+
+
+def merged_patches(patches: DataFrame, seq: str, supplied: str, key: list[str]) -> tuple[DataFrame, list[str]]:
+    """One row per key: for each patched field f its last value ``_p_f`` and whether it was supplied, ``_s_f``; and the fields."""
+    fields = [c for c in patches.columns if c not in (*key, seq, supplied)]
+    given = {f: F.array_contains(supplied, f) for f in fields}
+    return pin(patches.groupBy(*key).agg(
+        *[F.max_by(F.when(given[f], F.col(f)), F.when(given[f], F.col(seq))).alias(f"_p_{f}") for f in fields],
+        *[F.bool_or(given[f]).alias(f"_s_{f}") for f in fields],
+    ), "update"), fields
+
+
 def insert_if_absent(
     store: DataFrame, batch: DataFrame, arrival: str, key: list[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(store with new rows, rejected rows). The first arrival of a new key wins; ``arrival`` is unique."""
     key = key or STORE_KEY
-    first = pin(
-        batch.groupBy(*key).agg(F.min_by(F.struct(*batch.columns), arrival).alias("row")).select("row.*"), "insert"
-    )
+    first = first_arrivals(batch, arrival, key)
     known = _prefixed(_present(store, first, key), key)
     accepted = first.join(known, _same(key), "left_anti")
     rejected = batch.join(accepted.select(arrival), arrival, "left_anti")
@@ -58,12 +73,7 @@ def update_by_key(
     patches (by ``seq``) win field by field. Fields new to the store are added.
     """
     key = key or STORE_KEY
-    fields = [c for c in patches.columns if c not in (*key, seq, supplied)]
-    given = {f: F.array_contains(supplied, f) for f in fields}
-    merged = pin(patches.groupBy(*key).agg(
-        *[F.max_by(F.when(given[f], F.col(f)), F.when(given[f], F.col(seq))).alias(f"_p_{f}") for f in fields],
-        *[F.bool_or(given[f]).alias(f"_s_{f}") for f in fields],
-    ), "update")
+    merged, fields = merged_patches(patches, seq, supplied, key)
     joined = store.join(broadcast_if_small(_prefixed(merged, key)), _same(key), "left")
     old = lambda f: F.col(f) if f in store.columns else F.lit(None)
     new = {f: F.when(F.col(f"_s_{f}"), F.col(f"_p_{f}")).otherwise(old(f)).alias(f) for f in fields}

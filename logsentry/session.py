@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 # Rows a lookup table may hold and still be sent to every executor. Tables are
 # counted before they are hinted; above this the join is left to AQE.
 BROADCAST_ROWS = 1_000_000
+# And the bytes its files may have: rows can hold texts and arrays.
+BROADCAST_BYTES = 64 << 20
+
+# Estimates from here on stand for tables that Spark knows no size of: rows given by the driver.
+_UNKNOWN = 1 << 60
 
 _written: list[str] = []  # tables this process pinned, in order
 
@@ -94,13 +99,20 @@ def release(spark: SparkSession) -> None:
     _written.clear()
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint ``df`` for broadcast only after counting that it stays within ``max_rows``.
+def planned_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of a table's size; for a pinned table and a choice of its columns, from the sizes of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint ``df`` for broadcast only after finding that it stays within ``max_rows`` and ``max_bytes``.
 
-    Meant for pinned tables, whose count is read from parquet footers. A larger
+    Meant for pinned tables, whose count is read from parquet footers and whose size from their files. A larger
     table comes back unhinted and joins by shuffle, where AQE splits skewed keys.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    size = planned_bytes(df)
+    fits = size <= max_bytes or size >= _UNKNOWN
+    return F.broadcast(df) if fits and df.count() <= max_rows else df
 
 
 def one_row(aggregated: DataFrame) -> Column:
