@@ -15,12 +15,17 @@ A text the index holds already is dropped whole: the row that entered first stay
 from __future__ import annotations
 
 import hashlib
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logsentry.llm.text import col, documents, lower_az
 from logsentry.session import pin, scratch_path
+from logsentry.sources import folders
+
+MERGE = 4  # files of a bucket
+CUT_SAMPLE = 1000  # keys looked at to cut a table into increments
 
 
 def digest(text: Column) -> Column:
@@ -35,18 +40,31 @@ def digests(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
 
 class DigestIndex:
-    """A digest index at ``path``; opened if it exists, else made with ``buckets`` buckets.
+    """A digest index at ``path``; opened if it exists, else made with ``buckets`` buckets for keys of ``key_type``.
 
-    One row per kept text: digest, key (id of the row that stays) and rid.
+    One row per kept text: digest, key (id of the row that stays) and rid. A small file beside the rows says how many
+    buckets there are, the type of the keys and which folder is the live one, so that any session opens it as it was
+    made; another count or type is refused. The rows are a folder of bucket files; each batch adds one file per bucket, and once
+    a bucket has ``MERGE`` files on average all are merged into a new folder, sorted again, which the small file then names.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key_type: str = "bigint", buckets: int | None = None) -> None:
-        self.spark, self.path = spark, path
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.table = "digests_" + hashlib.sha256(path.encode()).hexdigest()[:16]
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.table} (digest BINARY, key {key_type}, rid BIGINT) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{path}'"
+    def __init__(self, spark: SparkSession, path: str, key_type: str | None = None, buckets: int | None = None) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+        made = json.dumps({"buckets": buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), "key": key_type or "bigint"})
+        folders.publish(spark, f"{self.path}/index.json", made)
+        told = json.loads(folders.read_text(spark, f"{self.path}/index.json"))
+        self.buckets, self.key_type = told["buckets"], told["key"]
+        if buckets not in (None, self.buckets) or key_type not in (None, self.key_type):
+            raise ValueError(f"the index has {self.buckets} buckets and keys of type {self.key_type}")
+        live = [n for n in folders.names(spark, f"{self.path}/live") if n[0] != "."]
+        self._open(int(live[-1]) if live else 0)
+
+    def _open(self, generation: int) -> None:
+        self.generation, self.folder = generation, f"{self.path}/rows-{generation:06d}"
+        self.table = "digests_" + hashlib.sha256(self.folder.encode()).hexdigest()[:16]
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.table} (digest BINARY, key {self.key_type}, rid BIGINT) USING parquet "
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.folder}'"
         )
 
     def unseen(self, batch: DataFrame) -> DataFrame:
@@ -64,11 +82,31 @@ class DigestIndex:
         """Append the batch's new texts; the rows of ``batch`` are (key, digest, rid)."""
         self.unseen(batch).select("digest", "key", "rid").write.insertInto(self.table)
         self.spark.catalog.refreshTable(self.table)
+        if len(self.spark.table(self.table).inputFiles()) > MERGE * self.buckets:
+            self.merge()
+
+    def merge(self) -> None:
+        """Write one sorted file per bucket into a new folder and make it the live one; the old folder goes."""
+        rows, old, old_table = self.spark.table(self.table), self.folder, self.table
+        self._open(self.generation + 1)
+        # Grouped by the unique digest, the old buckets are read each by one task, without a shuffle.
+        whole = rows.groupBy("digest").agg(F.first(F.struct("key", "rid")).alias("row"))
+        whole.select("digest", "row.key", "row.rid").write.insertInto(self.table)
+        self.spark.catalog.refreshTable(self.table)
+        folders.publish(self.spark, f"{self.path}/live/{self.generation:06d}", "")
+        self.spark.sql(f"DROP TABLE {old_table}")
+        folders.remove(self.spark, old)
 
     def rows(self) -> DataFrame:
         """The index as plain files: joins with it may split a hot digest, which buckets forbid."""
-        return self.spark.read.schema("digest binary, key " + self.spark.table(self.table).schema["key"].dataType.simpleString()
-                                      + ", rid bigint").parquet(self.path)
+        return self.spark.read.schema(f"digest binary, key {self.key_type}, rid bigint").parquet(self.folder)
+
+
+def _cuts(made: DataFrame, batches: int) -> list:
+    """Keys that cut the table into about equal ranges, highest first: any keys will do, so they come from a bounded sample."""
+    rows = max(made.count(), 1)
+    keys = made.select("key").filter("key IS NOT NULL").sample(min(1.0, CUT_SAMPLE / rows), seed=5).limit(2 * CUT_SAMPLE).orderBy("key").collect()
+    return sorted({keys[len(keys) * i // batches][0] for i in range(1, batches)}, reverse=True) if keys else []
 
 
 def resolve(batch: DataFrame, index: DigestIndex) -> DataFrame:
@@ -90,7 +128,7 @@ def exact_dedup(
 ) -> DataFrame:
     """Deduplicate a table through an index, as ``batches`` increments in falling order of the key.
 
-    Taking larger keys first makes the index keep the largest key of the whole table.
+    Taking larger keys first makes the index keep the largest key of the whole table. Keys are of any type with an order.
     ``path`` names a lasting index; without it a fresh one is made in the shared folder.
     Returns one row per input row: key (under its own name), keep_id, group_size, kept, digest.
     An empty table gives an empty result.
@@ -98,8 +136,7 @@ def exact_dedup(
     spark = df.sparkSession
     made = digests(df, key, text)
     index = DigestIndex(spark, path or scratch_path(spark, "digest-index"), made.schema["key"].dataType.simpleString())
-    cuts = sorted({c for c in made.select(F.percentile_approx(
-        "key", [i / batches for i in range(1, batches)], 1000)).first()[0] or []}, reverse=True) if batches > 1 else []
+    cuts = _cuts(made, batches) if batches > 1 else []
     above = F.lit(True)
     for cut in cuts:
         index.ingest(made.filter(above & (F.col("key") > cut)))

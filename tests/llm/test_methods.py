@@ -43,6 +43,40 @@ def test_index_keeps_what_entered_first(spark):
     assert kept == {7: False, 8: False, 9: True}
 
 
+def test_an_index_opened_elsewhere(spark):
+    """By a session that knows neither its table nor its buckets: nothing enters twice. Files of a bucket are merged."""
+    docs = spark.range(200).select(F.col("id").cast("string").alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 150).alias("text"))
+    path = scratch_path(spark, "test-index")
+    index = exact_dedup.DigestIndex(spark, path, "string", 4)
+    index.ingest(exact_dedup.digests(docs))
+    spark.sql(f"DROP TABLE {index.table}")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        again = exact_dedup.DigestIndex(spark, path)
+        again.ingest(exact_dedup.digests(docs))
+        assert again.buckets == 4 and again.rows().count() == 150
+        for k in range(exact_dedup.MERGE + 1):
+            again.ingest(exact_dedup.digests(docs.withColumn("text", F.concat("text", F.lit(f" {k}")))))
+        assert again.generation > 0 and len(again.rows().inputFiles()) <= exact_dedup.MERGE * 4
+        last = exact_dedup.DigestIndex(spark, path)
+        last.ingest(exact_dedup.digests(docs.withColumn("text", F.concat("text", F.lit(" 0")))))
+        assert last.rows().count() == 150 * (exact_dedup.MERGE + 2) and last.folder == again.folder
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for other in ({"buckets": 9}, {"key_type": "bigint"}):
+        with pytest.raises(ValueError):
+            exact_dedup.DigestIndex(spark, path, **other)
+
+
+def test_text_keys(spark):
+    rows = [(f"k{i:03d}", f"text {i % 40}") for i in range(100)] + [(None, "text 1"), (None, "alone")]
+    got = exact_dedup.exact_dedup(spark.createDataFrame(rows, "doc_id string, text string"), batches=4).collect()
+    last = {t: max((k for k, x in rows if x == t and k is not None), default=None) for _, t in rows}
+    assert sorted((r["doc_id"], r["keep_id"], r["kept"]) for r in got if r["doc_id"]) == sorted((k, last[t], last[t] == k) for k, t in rows if k)
+    assert sum(r["kept"] for r in got) == 41
+
+
 def test_cascade_order():
     rules = [quality.Rule(n, lambda t: F.lit(True)) for n in "abcd"]
     told = [quality.Estimate(rules[0], 2.0, 0.5), quality.Estimate(rules[1], 0.1, 0.2), quality.Estimate(rules[2], 1.0, 0.0), quality.Estimate(rules[3], 0.5, 0.0)]
