@@ -27,7 +27,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logsentry.llm.text import WORD, col, documents, packed
+from logsentry.llm.text import WORD, col, documents, packed, word_count
 from logsentry.operators.order import prefix_sum
 from logsentry.session import BROADCAST_ROWS, broadcast_if_small, pin
 
@@ -176,10 +176,15 @@ def _cleaned(rows: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def drop_repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES,
-                        min_words: int = MIN_WORDS) -> DataFrame:
-    """``df``, all rows and columns, with the later copies of repeated line runs gone from ``text``."""
+                        min_words: int = MIN_WORDS, least: int = 0) -> DataFrame:
+    """``df``, all columns, with the later copies of repeated line runs gone from ``text``.
+
+    All rows stay, except those that lost lines and have fewer than ``least`` words left.
+    """
     rows = numbered(df, key, text)
     clean = _cleaned(rows, later_copies(rows, min_lines, min_words))
+    if least:
+        clean = clean.filter((F.col("removed") == 0) | (word_count(F.col("clean")) >= least))
     return clean.select(*[F.col("clean").alias(text) if c == text else F.col("row").getField(c).alias(c) for c in df.columns])
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from logsentry.llm.graph import components
 from logsentry.llm.text import arrow_rows, col, documents, packed, unpacked
-from logsentry.session import broadcast_if_small, pin
+from logsentry.session import broadcast_if_small, drop, pin, written
 
 BANDS, ROWS = 32, 6
 HASHES = BANDS * ROWS
@@ -333,19 +333,43 @@ def near_duplicates(
     return out.withColumn("kept", F.col("key").eqNullSafe(F.col("component_id"))).withColumnRenamed("key", key)
 
 
-def drop_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
-                         percent: int = PERCENT) -> DataFrame:
-    """One row of ``df``, all columns, of each group: that with the smallest key (null last), of these the first.
+def copies(told: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(rid) of the rows of ``told`` (rid, key, text) that go: of each group that with the smallest key (null last), of these the first, stays.
 
     Rows without shingles are copies of nothing and stay.
     """
-    given = pin(df.select(F.monotonically_increasing_id().alias("rid"), packed(df)), "rows")
-    told = given.select("rid", *[F.col("row").getField(c).alias(n) for c, n in ((key, "key"), (text, "text"))])
     rows, named = _components(told, "key", "text", words, percent, "rid")
     alike = rows.filter("n_shingles > 0")
     least = alike.groupBy("digest").agg(F.min(F.struct(F.col("key").isNull().alias("null"), "key", "rid")).alias("least"))
     stay = least.join(named, "digest").groupBy("label").agg(F.min("least").alias("least")).select(F.col("least.rid").alias("rid"))
-    gone = pin(alike.select("rid").join(stay, "rid", "left_anti"), "gone")
+    return pin(alike.select("rid").join(stay, "rid", "left_anti"), "gone")
+
+
+def drop_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
+                         percent: int = PERCENT, earlier: DataFrame | None = None) -> DataFrame:
+    """One row of ``df``, all columns, of each group: that with the smallest key (null last), of these the first.
+
+    Rows without shingles are copies of nothing and stay. ``earlier`` is a table with ``key`` and ``text`` as they were before other
+    steps took parts of the texts out: then copies are first looked for among the texts as they were, and afterwards, in
+    what is left, among the texts as they are. A row's earlier text is the one with its key, if the key occurs once in both tables.
+    """
+    given = pin(df.select(F.monotonically_increasing_id().alias("rid"), packed(df)), "rows")
+    told = given.select("rid", *[F.col("row").getField(c).alias(n) for c, n in ((key, "key"), (text, "text"))])
+    gone = None
+    if earlier is not None:
+        kept = set(written())
+        was = earlier.select(col(key).alias("key"), col(text).alias("text"))
+        once = lambda t, *more: t.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.first(F.xxhash64("text")).alias("h"), *more).filter("n = 1")
+        then = once(was).select(F.col("key").alias("k"), F.col("h").alias("h0"))
+        changed = pin(once(told, F.first("rid").alias("rid")).join(then, F.col("key") == F.col("k")).filter("h <> h0").select("key", "rid"), "changed")
+        few = broadcast_if_small(changed)
+        start = told.join(few.select("rid"), "rid", "left_anti").unionByName(was.join(few, "key"))
+        gone = copies(start, words, percent)
+        mine = [p for p in written() if p not in kept]
+        told = pin(told.join(broadcast_if_small(gone), "rid", "left_anti"), "left")
+        drop(df.sparkSession, mine[:-1])  # all but the rows that go
+    last = copies(told, words, percent)
+    gone = last if gone is None else pin(gone.unionByName(last), "gone")
     return unpacked(given.join(broadcast_if_small(gone), "rid", "left_anti"), df.columns)
 
 

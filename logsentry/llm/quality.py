@@ -25,6 +25,7 @@ from logsentry.session import pin
 
 WINDOW = 5  # words of a repeated sequence
 SYMBOLS = "#*$%&|<>"  # characters of markup and tables
+LEAST_WORDS = 10  # words of a text that the base rule lets pass
 SAMPLE_ROWS = 2000  # rows the order of the rules is estimated on
 
 
@@ -102,7 +103,7 @@ def measures(text: Column) -> Column:
 
 
 def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
-    return (n_words < 10) | (100 * n_repeat_words > 20 * n_words)
+    return (n_words < LEAST_WORDS) | (100 * n_repeat_words > 20 * n_words)
 
 
 def _base(text: Column) -> Column:
