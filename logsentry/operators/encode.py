@@ -17,10 +17,19 @@ def fit_encoders(df: DataFrame, columns: list[str]) -> DataFrame:
     distinct table beyond the broadcast size is numbered with the ranged index, so a
     column with very many distinct values needs no single task.
     """
+    return numbered_values(distinct_values(df, columns))
+
+
+def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value): the distinct values that are there, as text, written once."""
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns
     ])).alias("pair")).select("pair.*").filter(F.col("value").isNotNull()).distinct()
-    pairs = pin(pairs, "categories")
+    return pin(pairs, "categories")
+
+
+def numbered_values(pairs: DataFrame) -> DataFrame:
+    """(column, value, code) of a written table of distinct pairs: each column's values from 0 in their order."""
     if pairs.count() <= BROADCAST_ROWS:
         code = F.row_number().over(Window.partitionBy("column").orderBy("value")) - 1
         return pairs.withColumn("code", code)

@@ -147,18 +147,37 @@ def predict_one(bodies: DataFrame) -> DataFrame:
     ).drop("body")
 
 
+def _body_items() -> Column:
+    return F.expr("try_variant_get(request, '$.data', 'array<variant>')")
+
+
+def _body_error() -> Column:
+    """Why a parsed batch body is refused as a whole, or null."""
+    data = field(F.col("request"), "data")
+    return F.when(F.col("request").isNull(), NOT_JSON).when(data.isNull(), MISSING_DATA).when(_body_items().isNull(), DATA_NOT_LIST)
+
+
 def body_errors(bodies: DataFrame) -> DataFrame:
     """Per batch body: its error, if the whole batch is refused, and total_processed."""
-    data = field(F.col("request"), "data")
-    items = F.expr("try_variant_get(request, '$.data', 'array<variant>')")
-    error = (
-        F.when(F.col("request").isNull(), NOT_JSON).when(data.isNull(), MISSING_DATA).when(items.isNull(), DATA_NOT_LIST)
-    )
-    return parse_body(bodies).withColumn("error", error).withColumn(
-        "total_processed", F.when(F.col("error").isNull(), F.size(items))
+    return parse_body(bodies).withColumn("error", _body_error()).withColumn(
+        "total_processed", F.when(F.col("error").isNull(), F.size(_body_items()))
     ).withColumn("model_version", F.lit(MODEL_VERSION)).drop("request", "body")
 
 
+def assessed_bodies(bodies: DataFrame) -> DataFrame:
+    """One row per item of every batch body, as ``score_batch``, and one row without an index per body that has no items.
+
+    Each body is parsed once. ``error`` is that of the item, or of a body that is refused as a whole; ``total_processed`` is the body's.
+    """
+    parsed = parse_body(bodies).withColumn("_refused", _body_error()).withColumn("_items", _body_items())
+    total = F.when(F.col("_refused").isNull(), F.size("_items"))
+    rows = parsed.withColumn("total_processed", total).select(
+        *[c for c in bodies.columns if c != "body"], "_refused", "total_processed", F.posexplode_outer("_items").alias("index", "item"))
+    told = _assess(rows, "item", MISSING_FIELDS, INVALID_TYPES)
+    return told.withColumn("error", F.when(F.col("index").isNull(), F.col("_refused")).otherwise(F.col("error"))).withColumn(
+        "prediction", F.when(F.col("index").isNotNull(), F.col("prediction"))).drop("missing", "item", "_refused")
+
+
 def score_batch(bodies: DataFrame) -> DataFrame:
     """One row per item of every batch body: index, error, prediction."""
     return _assess(batch_items(bodies), "item", MISSING_FIELDS, INVALID_TYPES).drop("missing", "item")

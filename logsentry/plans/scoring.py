@@ -78,7 +78,7 @@ def _faulty(requests: DataFrame) -> tuple[Column, Column]:
     return _record(fields), _record(broken)
 
 
-def _bodies(spark: SparkSession, sf_dir: str, batch: bool) -> DataFrame:
+def bodies(spark: SparkSession, sf_dir: str, batch: bool) -> DataFrame:
     requests = as_requests(network_logs(spark, sf_dir))
     good, broken = _faulty(requests)
     if not batch:
@@ -94,28 +94,28 @@ def _flat(scored: DataFrame, *first: str) -> DataFrame:
 
 
 def request_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = validate.validate_records(_bodies(spark, sf_dir, batch=False))
+    out = validate.validate_records(bodies(spark, sf_dir, batch=False))
     return out.select("log_id", F.array_join("missing", ",").alias("missing"), "has_fields", "valid_types")
 
 
 def predict_single(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(validate.predict_one(_bodies(spark, sf_dir, batch=False)), "log_id", "status_code", "model_version")
+    return _flat(validate.predict_one(bodies(spark, sf_dir, batch=False)), "log_id", "status_code", "model_version")
 
 
 def record_reshape(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The input fields handed back with each single score, as typed columns."""
-    out = validate.predict_one(_bodies(spark, sf_dir, batch=False)).filter("status_code = 200")
+    out = validate.predict_one(bodies(spark, sf_dir, batch=False)).filter("status_code = 200")
     types = {"source_port": "int", "destination_port": "int"}
     return out.select("log_id", *[
         F.try_variant_get(F.col(f"input_data.{f}"), "$", types.get(f, "string")).alias(f) for f in REQUEST_FIELDS])
 
 
 def batch_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(validate.score_batch(_bodies(spark, sf_dir, batch=True)), "log_id", "index")
+    return _flat(validate.score_batch(bodies(spark, sf_dir, batch=True)), "log_id", "index")
 
 
 def batch_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.body_errors(_bodies(spark, sf_dir, batch=True))
+    return validate.body_errors(bodies(spark, sf_dir, batch=True))
 
 
 # ---- keyed store: orders as the records, (customer, day, priority) as the key

@@ -80,13 +80,23 @@ def save_version(df: DataFrame, path: str, version: str | None = None, keep: int
     rows, stored = counted.get["rows"], spark.read.parquet(folder).count()
     if stored != rows:
         raise OSError(f"version {version}: {rows} rows were written, {stored} are there")
-    if not folders.publish(spark, f"{path}/{_POINTERS}/{version}.json", json.dumps({"version": version, "rows": rows})):
+    if not publish_version(spark, path, version, {"rows": rows}):
         raise ValueError(f"version {version} exists")
     if keep is not None:
         expire_versions(spark, path, keep)
     return version
 
 
+def pointer(path: str, version: str) -> str:
+    """The small file that makes a version whole."""
+    return f"{path}/{_POINTERS}/{version}.json"
+
+
+def publish_version(spark: SparkSession, path: str, version: str, told: dict) -> bool:
+    """Make a written version whole, with what is told of it; False if it is already."""
+    return folders.publish(spark, pointer(path, version), json.dumps({"version": version, **told}))
+
+
 def versions(spark: SparkSession, path: str) -> list[str]:
     """The whole versions under ``path``, oldest first."""
     return [n.removesuffix(".json") for n in folders.names(spark, f"{path}/{_POINTERS}") if n.endswith(".json") and n[0] != "."]
@@ -97,7 +107,7 @@ def expire_versions(spark: SparkSession, path: str, keep: int) -> list[str]:
     whole = versions(spark, path)
     gone = whole[: -max(keep, 1)]
     for version in gone:  # no reader finds a version any more before its rows go
-        folders.remove(spark, f"{path}/{_POINTERS}/{version}.json")
+        folders.remove(spark, pointer(path, version))
     stored = [n.removeprefix("version=") for n in folders.names(spark, path) if n.startswith("version=")]
     broken = [v for v in stored if whole and v not in whole and v < whole[-1]]
     for version in {*gone, *broken}:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -71,3 +72,25 @@ def publish(spark: SparkSession, name: str, text: str) -> bool:
 def remove(spark: SparkSession, name: str) -> None:
     path, fs = _path(spark, name)
     fs.delete(path, True)
+
+
+class Commits:
+    """Numbered states of something in a folder: small JSON files, each put in place by rename. The newest is the state."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark, self.folder = spark, folder
+
+    def numbers(self) -> list[int]:
+        return [int(n.removesuffix(".json")) for n in names(self.spark, self.folder) if n.endswith(".json") and n[0] != "."]
+
+    def read(self, number: int) -> dict:
+        return json.loads(read_text(self.spark, f"{self.folder}/{number:012d}.json"))
+
+    def newest(self, empty: dict) -> tuple[int, dict]:
+        """Number and content of the newest state; 0 and ``empty`` if there is none."""
+        found = self.numbers()
+        return (found[-1], self.read(found[-1])) if found else (0, empty)
+
+    def put(self, number: int, state: dict) -> bool:
+        """Commit a state; False if that number was committed already."""
+        return publish(self.spark, f"{self.folder}/{number:012d}.json", json.dumps(state))

@@ -18,7 +18,7 @@ from logsentry.streaming import arrivals, ordered, scoring
 from tests.conftest import SF
 
 
-@pytest.mark.parametrize("name", lasting.QUERIES)
+@pytest.mark.parametrize("name", lasting.ORACLES)
 def test_against_sql(spark, name):
     con = duckdb.connect()
     for t in ("events", "lineitem"):
