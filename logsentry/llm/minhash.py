@@ -249,13 +249,11 @@ def _star(rows: DataFrame, centre) -> DataFrame:
     return pairs.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
 
 
-def _rest_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components among the nodes of ``rows`` that can reach the threshold, by their rarest shingles.
+def prefixes(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, label, n, s, place) of the rarest shingles of each node, as many as a similar set may have to be met by.
 
-    With a set's shingles ordered from rare to common, the first one that two similar sets share lies so early in
-    both that enough can follow it. So the smaller set is looked up by a short prefix and the larger by a longer one:
-    lines and passages that many texts share are common, come last, and make no pairs. Nothing is lost by it.
-    A shingle that occurs once is never shared; it takes a place in the order but is not shuffled again.
+    A shingle whose nodes are all of one component joins nothing and is left out: were it in all nodes of a large component, looking
+    at its pairs would cost the square of that component.
     """
     members = rows.select("node", "label").distinct()
     each = sets.join(members, "node").select("node", "label", F.size("set").alias("n"), F.explode("set").alias("s"))
@@ -264,6 +262,19 @@ def _rest_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     placed = each.join(common, "s").withColumn(
         "place", F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("node")) + F.row_number().over(rare_first) - 1)
     placed = pin(placed.filter(F.col("place") <= F.col("n") - F.ceil(percent * F.col("n") / 100)).drop("c"), "prefixes")
+    spread = placed.groupBy("s").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    return pin(placed.join(spread.filter("lo <> hi").select("s"), "s"), "prefixes")
+
+
+def _rest_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components among the nodes of ``rows`` that can reach the threshold, by their rarest shingles.
+
+    With a set's shingles ordered from rare to common, the first one that two similar sets share lies so early in
+    both that enough can follow it. So the smaller set is looked up by a short prefix and the larger by a longer one:
+    lines and passages that many texts share are common, come last, and make no pairs. Nothing is lost by it.
+    A shingle that occurs once is never shared; it takes a place in the order but is not shuffled again.
+    """
+    placed = prefixes(rows, sets, percent)
     small = placed.filter(F.col("place") <= F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)))
     x, y = small.alias("x"), placed.alias("y")
     left = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))

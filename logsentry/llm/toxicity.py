@@ -9,7 +9,7 @@ counterfactuals. A term that only marks who is spoken of is so denied a weight o
 positives on neutral mentions. Scoring is one pass over the texts with the model in every task.
 
 Null and empty texts have no features and get the score of the intercept. Rows that repeat an id are scored one
-by one; several labels of one id count as toxic if any is. Without labelled rows of both kinds every score
+by one; of an id's rows the least text is learnt from, and several labels of one id count as toxic if any is. Without labelled rows of both kinds every score
 is the smoothed share of toxic labels (0.5 without any).
 """
 
@@ -79,7 +79,7 @@ def labelled(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     if told.count() <= BROADCAST_ROWS:
         told = F.broadcast(told)
     given = df.select(col(key).alias("key"), F.coalesce(col(text), F.lit("")).alias("text"))
-    return pin(given.join(told, "key").dropDuplicates(["key"]), "labelled")
+    return pin(given.join(told, "key").groupBy("key", "label").agg(F.min("text").alias("text")).select("key", "text", "label"), "labelled")
 
 
 def feature_counts(rows: DataFrame) -> DataFrame:
@@ -152,22 +152,27 @@ def swaps(words: set[str], identity: Sequence[Sequence[str]] = IDENTITY) -> list
 
 
 def vectors(rows: DataFrame, features: dict[str, int], identity: Sequence[Sequence[str]] = IDENTITY) -> DataFrame:
-    """(key, label, inputs, others): the inputs of each row and of its counterfactuals."""
+    """(key, label, inputs, swaps): the inputs of each row, and what each of its counterfactuals changes.
+
+    An input that a swap takes away is given as its number, one that it adds as minus one less its number: the rest cancels out in the penalty.
+    """
     schema = T.StructType([
         rows.schema["key"], T.StructField("label", T.IntegerType()), T.StructField("inputs", T.ArrayType(T.IntegerType())),
-        T.StructField("others", T.ArrayType(T.ArrayType(T.IntegerType())))])
+        T.StructField("swaps", T.ArrayType(T.ArrayType(T.IntegerType())))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Known(features)
         for batch in batches:
-            inputs, others = [], []
+            inputs, changes = [], []
             for text in batch.column(2).to_pylist():
                 words = words_of(text)
-                inputs.append(sorted(known.inputs(words)))
-                others.append([sorted(known.inputs(w)) for w in swaps(words, identity)])
+                own = known.inputs(words)
+                inputs.append(sorted(own))
+                other = (known.inputs(w) for w in swaps(words, identity))
+                changes.append([[*sorted(own - o), *(-1 - i for i in sorted(o - own))] for o in other])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(inputs, pa.list_(pa.int32())),
-                 pa.array(others, pa.list_(pa.list_(pa.int32())))], ["key", "label", "inputs", "others"])
+                 pa.array(changes, pa.list_(pa.list_(pa.int32())))], ["key", "label", "inputs", "swaps"])
 
     return rows.select("key", "label", "text").mapInArrow(run, schema)
 
@@ -178,14 +183,17 @@ def _flat(lists: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
             np.fromiter((i for x in lists for i in x), np.int32, sum(sizes)))
 
 
-def fit(inputs: list[list[int]], labels: np.ndarray, others: list[list[list[int]]], size: int,
+def fit(inputs: list[list[int]], labels: np.ndarray, changes: list[list[list[int]]], size: int,
         counterfactual: float = COUNTERFACTUAL, steps: int = STEPS) -> tuple[np.ndarray, float]:
-    """Weights and bias by gradient steps with per-coordinate scaling (Adam) over all rows."""
+    """Weights and bias by gradient steps with per-coordinate scaling (Adam) over all rows.
+
+    ``changes``: per row and swap the inputs taken away, and those added as minus one less their number.
+    """
     row, column = _flat(inputs)
-    pairs = [(i, o) for i, each in enumerate(others) for o in each]
-    # The change of a pair: inputs of the row count 1, those of the counterfactual -1.
-    ra, ca = _flat([inputs[i] for i, _ in pairs])
-    rb, cb = _flat([o for _, o in pairs])
+    pairs = [o for each in changes for o in each]
+    # The change of a pair: inputs of the row alone count 1, those of the counterfactual alone -1.
+    ra, ca = _flat([[i for i in o if i >= 0] for o in pairs])
+    rb, cb = _flat([[-1 - i for i in o if i < 0] for o in pairs])
     n, m = len(labels), max(len(pairs), 1)
     w, mean, square = (np.zeros(size + 1) for _ in range(3))
     share = (labels.sum() + 0.5) / (n + 1)
@@ -219,7 +227,7 @@ def train(rows: DataFrame, identity: Sequence[Sequence[str]] = IDENTITY, counter
     picked = rows if part == 1 else rows.filter(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(part * 1_000_000))
     got = vectors(picked, features, identity).orderBy("key").collect()
     weights, bias = fit([r["inputs"] for r in got], np.array([float(r["label"] != 0) for r in got]),
-                        [r["others"] for r in got], len(names), counterfactual)
+                        [r["swaps"] for r in got], len(names), counterfactual)
     kept = {f: i for f, i in features.items() if abs(weights[i]) > 1e-6}
     return Model(kept, weights, bias)
 

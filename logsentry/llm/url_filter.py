@@ -45,7 +45,7 @@ SEEDS = ("adult", "ads", "adserver", "bet", "bets", "betting", "casino", "cheap"
          "malware", "pharma", "phishing", "pills", "poker", "porn", "replica", "sex", "slots", "spam", "track", "tracker", "viagra",
          "warez", "xxx")
 SEED_COUNT = 1000  # what a seed word counts at least in the unigram model
-LONGEST = 24  # letters of a word of the unigram model; longer substrings count as unknown
+PROBE = 24  # letters by which names look words up; longer words are looked up by so many, then compared
 SCALE = 1_000_000
 _NAME = r"(\p{L}+|\p{N}+)"
 
@@ -85,9 +85,9 @@ def names(urls: DataFrame) -> DataFrame:
 
 
 def word_counts(texts: DataFrame, column: str) -> DataFrame:
-    """(word, n) over all texts, words of up to ``LONGEST`` letters in lower case; markup tags are skipped."""
+    """(word, n) over all texts, words of any length in lower case; markup tags are skipped."""
     plain = F.regexp_replace(F.coalesce(col(column), F.lit("")), r"<[^<>]*>", " ")
-    words = texts.select(F.explode(F.regexp_extract_all(F.lower(plain), F.lit(rf"(?<!\p{{L}})(\p{{L}}{{1,{LONGEST}}})(?!\p{{L}})"), 1)).alias("word"))
+    words = texts.select(F.explode(F.regexp_extract_all(F.lower(plain), F.lit(r"\p{L}+"), 0)).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -95,20 +95,24 @@ def cut(name: str, found: list[tuple[int, int, int]], total: int) -> list[str]:
     """The best cutting of a name. ``found``: (start, length, count) of its substrings that are words.
 
     A known word costs minus the log of its share. An unknown stretch of n letters costs as a word seen once
-    in a corpus 10 ** n times as large, and may be the whole name.
+    in a corpus 10 ** n times as large. One pass: a place is reached by a word, or within an unknown stretch, whose cost
+    grows by a letter at a time.
     """
     n = len(name)
     known: list[list[tuple[int, float]]] = [[] for _ in range(n)]
     for start, length, count in found:
         known[start].append((length, math.log(total / count)))
-    base = math.log(total)
+    base, letter = math.log(total), math.log(10)
     best = [0.0] + [math.inf] * n
     back = [0] * (n + 1)
+    stretch, begin = math.inf, 0  # the cheapest unknown stretch that ends here, with all before it
     for i in range(n):
-        words = {**{k: base + k * math.log(10) for k in range(1, min(LONGEST, n - i) + 1)}, **dict(known[i])}
-        if i == 0:
-            words.setdefault(n, base + n * math.log(10))
-        for length, cost in words.items():
+        if best[i] + base < stretch - 1e-12:
+            stretch, begin = best[i] + base, i
+        stretch += letter
+        if stretch < best[i + 1] - 1e-12:
+            best[i + 1], back[i + 1] = stretch, begin
+        for length, cost in known[i]:
             if best[i] + cost < best[i + length] - 1e-12:
                 best[i + length], back[i + length] = best[i] + cost, i
     out, end = [], n
@@ -125,10 +129,14 @@ def segment(distinct: DataFrame, counts: DataFrame) -> DataFrame:
     length = F.length("name")
     starts = distinct.select("name", F.explode(F.sequence(F.lit(1), length)).alias("start"))
     parts = starts.select("name", "start", F.explode(F.sequence(
-        F.lit(1), F.least(F.lit(LONGEST), length - F.col("start") + 1))).alias("length"))
-    parts = parts.withColumn("word", F.expr("substring(name, start, length)"))
-    hits = parts.join(counts, "word").groupBy("name").agg(
-        F.collect_list(F.struct((F.col("start") - 1).alias("start"), "length", "n")).alias("found"))
+        F.lit(1), F.least(F.lit(PROBE), length - F.col("start") + 1))).alias("length"))
+    parts = parts.withColumn("probe", F.expr("substring(name, start, length)"))
+    # A longer word is met by its first letters, and then compared with what the name has there.
+    words = counts.select(F.substring("word", 1, PROBE).alias("probe"), "word", "n")
+    same = F.col("probe") == F.col("word")
+    longer = F.expr("substring(name, start, length(word))") == F.col("word")
+    hits = parts.join(words, "probe").filter(same | longer).groupBy("name").agg(
+        F.collect_list(F.struct((F.col("start") - 1).alias("start"), F.length("word").alias("length"), "n")).alias("found"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,10 +161,14 @@ def _log_odds(block: Column, allow: Column) -> Column:
     return F.round(F.log(block / allow) * SCALE).cast("long")
 
 
+def marked(seeds: Sequence[str]) -> Column:
+    """Whether a host has a seed word between its separators."""
+    return F.coalesce(F.arrays_overlap(F.split("host", "[^a-z0-9]+"), F.array(*[F.lit(s) for s in seeds])), F.lit(False))
+
+
 def bayes(tokens: DataFrame, urls: DataFrame, seeds: Sequence[str] = SEEDS) -> tuple[DataFrame, int]:
     """(token, odds): log-odds of block over allow in millionths, smoothed by one; and those of the classes."""
-    marked = F.arrays_overlap(F.split("host", "[^a-z0-9]+"), F.array(*[F.lit(s) for s in seeds]))
-    label = F.coalesce(marked, F.lit(False)).cast("int")
+    label = marked(seeds).cast("int")
     classes = urls.agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("block")).first()
     block, allow = (classes["block"] or 0) + 1, classes["n"] - (classes["block"] or 0) + 1
     counts = pin(tokens.groupBy("token").agg(F.sum(label).alias("block"), F.sum(1 - label).alias("allow")), "token-counts")
@@ -167,6 +179,28 @@ def bayes(tokens: DataFrame, urls: DataFrame, seeds: Sequence[str] = SEEDS) -> t
     return pin(odds, "odds"), round(math.log(block / allow) * SCALE)
 
 
+def unigrams(corpus: DataFrame, column: str, seeds: Sequence[str]) -> DataFrame:
+    """(word, n) of the corpus and the seeds, written once."""
+    seeded = corpus.sparkSession.createDataFrame([(s, SEED_COUNT) for s in seeds], "word string, n long")
+    return pin(word_counts(corpus, column).unionByName(seeded).groupBy("word").agg(F.max("n").alias("n")), "unigrams")
+
+
+def held_out(df: DataFrame, corpus: DataFrame, url: str = "url", corpus_text: str = "text", seeds: Sequence[str] = SEEDS, parts: int = 4) -> DataFrame:
+    """(host, marked, blocked) of one host in ``parts``: how words judge hosts that were not learnt from, without the seed words themselves.
+
+    ``marked`` is the label by seeds, ``blocked`` the verdict of most of the host's URLs by all other words.
+    """
+    host, path = host_and_path(col(url))
+    urls = pin(df.select(host.alias("host"), path.alias("path")).distinct(), "distinct-urls")
+    words = tokens(urls, unigrams(corpus, corpus_text, seeds))
+    apart = F.pmod(F.xxhash64("host"), F.lit(parts)) == 0
+    odds, prior = bayes(words.filter(~apart), urls.filter(~apart), seeds)
+    blind = words.filter(apart).filter(~F.substring("token", 3, 1 << 30).isin(*seeds))
+    scored = blind.join(broadcast_if_small(odds), "token").groupBy("host", "path").agg(F.sum("odds").alias("odds"))
+    told = urls.filter(apart).join(scored, ["host", "path"], "left").withColumn("block", (F.coalesce("odds", F.lit(0)) + prior > 0).cast("int"))
+    return told.groupBy("host").agg(F.max(marked(seeds)).alias("marked"), (F.avg("block") > 0.5).alias("blocked"))
+
+
 def judge(
     df: DataFrame, corpus: DataFrame, url: str = "url", corpus_text: str = "text", key: str = "page_id",
     rules: Sequence[Rule] = RULES, seeds: Sequence[str] = SEEDS,
@@ -179,9 +213,7 @@ def judge(
     host, path = host_and_path(col(url))
     rows = pin(df.select(col(key).alias("key"), host.alias("host"), path.alias("path")), "urls")
     urls = pin(rows.select("host", "path").distinct(), "distinct-urls")
-    seeded = spark.createDataFrame([(s, SEED_COUNT) for s in seeds], "word string, n long")
-    counts = word_counts(corpus, corpus_text).unionByName(seeded).groupBy("word").agg(F.max("n").alias("n"))
-    words = tokens(urls, pin(counts, "unigrams"))
+    words = tokens(urls, unigrams(corpus, corpus_text, seeds))
     odds, prior = bayes(words, urls, seeds)
     scored = words.join(broadcast_if_small(odds), "token").groupBy("host", "path").agg(F.sum("odds").alias("odds"))
     told = urls.join(scored, ["host", "path"], "left").join(apply_rules(urls, rule_table(spark, rules)), ["host", "path"], "left")
