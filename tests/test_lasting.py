@@ -12,13 +12,12 @@ from logsentry.operators import features, records
 from logsentry.operators.keyed_table import Conflict, KeyedTable
 from logsentry.operators.order import global_index
 from logsentry.operators.segments import SegmentedLog
-from logsentry.plans import lasting
 from logsentry.sources import files, folders
 from logsentry.streaming import arrivals, ordered, scoring
 from tests.conftest import SF
 
 
-@pytest.mark.parametrize("name", lasting.ORACLES)
+@pytest.mark.parametrize("name", ["store_sequence", "ordered_increments", "codes_of_increments", "checked_write"])
 def test_against_sql(spark, name):
     con = duckdb.connect()
     for t in ("events", "lineitem"):
