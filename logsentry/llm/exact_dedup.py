@@ -25,6 +25,7 @@ from logsentry.session import pin, scratch_path
 from logsentry.sources import folders
 
 MERGE = 4  # files of a bucket
+HOT = 1000  # shares of all rows: a group above one share is joined without a shuffle
 CUT_SAMPLE = 1000  # keys looked at to cut a table into increments
 
 
@@ -112,15 +113,17 @@ def _cuts(made: DataFrame, batches: int) -> list:
 def resolve(batch: DataFrame, index: DigestIndex) -> DataFrame:
     """Every row of ``batch`` (key, digest, rid) with keep_id, group_size (its equals in ``batch``) and kept.
 
-    Counting reduces each group to one row before the join, whose large side AQE can
-    split where a third of all rows share one digest.
+    Groups are counted map-side. Those with more than one in ``HOT`` of all rows, at most ``HOT`` of them, are sent to the rows; so
+    no task of the join by digest gets more than that share of the rows in one group, even where a third of all rows are one text.
     """
     counts = batch.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
     known = index.rows().withColumnsRenamed({"key": "keep_id", "rid": "keep_rid"})
-    groups = counts.join(known, "digest")
-    return batch.join(groups, "digest").select(
-        "key", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"), "digest"
-    )
+    groups = pin(counts.join(known, "digest"), "groups")
+    large = F.col("group_size") > max(batch.count() // HOT, 1)
+    hot = F.broadcast(groups.filter(large))
+    met = batch.join(hot, "digest").unionByName(
+        batch.join(hot.select("digest"), "digest", "left_anti").join(groups.filter(~large), "digest"))
+    return met.select("key", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"), "digest")
 
 
 def exact_dedup(
