@@ -33,6 +33,7 @@ from logsentry.session import BROADCAST_ROWS, broadcast_if_small, pin
 
 MIN_LINES = 2  # lines of a run
 MIN_WORDS = 10  # words of a line that counts as a run by itself
+LOOKUP_ROWS = 250_000  # ranks that are sent to the tasks; several such tables are held at a time
 
 
 def numbered(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -50,6 +51,11 @@ def lines(rows: DataFrame) -> DataFrame:
         F.xxhash64("s.line").alias("h1"), F.xxhash64(F.lit(1), "s.line").alias("h2")), "lines")
 
 
+def _sent(table: DataFrame) -> DataFrame:
+    """A written lookup table, sent to every task where it is small."""
+    return broadcast_if_small(table, LOOKUP_ROWS)
+
+
 def _ranks(counted: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, rank) of counted keys (keys, c): the number of places with smaller keys."""
     run = prefix_sum(counted, keys, ["c"])
@@ -62,7 +68,7 @@ def first_ranks(told: DataFrame) -> DataFrame:
     ``left``: lines to the end of the run.
     """
     ranks = _ranks(told.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), ["h1", "h2"])
-    places = told.join(broadcast_if_small(ranks), ["h1", "h2"]).drop("h1", "h2").withColumnRenamed("rank", "r")
+    places = told.join(_sent(ranks), ["h1", "h2"]).drop("h1", "h2").withColumnRenamed("rank", "r")
     in_text = Window.partitionBy("rid").orderBy("i")
     run = places.withColumn("run", F.col("i") - F.row_number().over(in_text))
     return pin(run.withColumn("left", F.max("i").over(Window.partitionBy("rid", "run")) - F.col("i") + 1).drop("run"),
@@ -85,15 +91,17 @@ def doubled(places: DataFrame) -> Doubled:
         step = 1 << len(rounds)
         rounds.append(open_.select("rid", "i", "r"))
         known = reduce(DataFrame.unionByName, [*settled, open_]).select("rid", F.col("i").alias("there"), F.col("r").alias("ahead"))
+        if settled:  # only texts with open places are asked
+            known = known.join(_sent(pin(open_.select("rid").distinct(), "open")), "rid", "left_semi")
         pairs = open_.withColumn("there", F.col("i") + step).join(known, ["rid", "there"], "left").drop("there")
         pairs = pin(pairs.withColumn("then", F.when(F.col("left") > step, F.col("ahead") + 1).otherwise(F.lit(0))).drop("ahead"), "pairs")
         counted = pairs.groupBy("r", "then").agg(F.count(F.lit(1)).alias("c"))
         run = pin(prefix_sum(counted, ["r", "then"], ["c"]).select("r", "then", "c", (F.col("cum_c") - F.col("c")).alias("before")), "run")
         # A rank is the number of places before it: places of one rank part within the room that they had.
         first = run.groupBy("r").agg(F.min("before").alias("first"))
-        found = pin(run.join(broadcast_if_small(pin(first, "first")), "r").select(
+        found = pin(run.join(first, "r").select(
             "r", "then", (F.col("r") + F.col("before") - F.col("first")).alias("rank"), "c"), "ranks")
-        ranked = pin(pairs.join(broadcast_if_small(found), ["r", "then"]).select(
+        ranked = pin(pairs.join(_sent(found), ["r", "then"]).select(
             "key", "rid", "i", "left", F.col("rank").alias("r"), ((F.col("c") == 1) | (F.col("then") == 0)).alias("done")), "round")
         settled.append(ranked.filter("done").drop("done"))
         open_ = ranked.filter("NOT done").drop("done")
@@ -140,10 +148,10 @@ def later_copies(rows: DataFrame, min_lines: int = MIN_LINES, min_words: int = M
     alone = places.groupBy("r").agg(F.min(F.struct("key", "rid", "i")).alias("first_line"))
     at = F.struct("key", "rid", "i")
     marked = (
-        places.join(broadcast_if_small(pin(alone, "alone")), "r")
+        places.join(_sent(pin(alone, "alone")), "r")
         .withColumn("single", (F.col("words") >= min_words) & (at > F.col("first_line"))).drop("r", "first_line")
         .join(ranked.final.select("rid", "i", "r"), ["rid", "i"])
-        .join(broadcast_if_small(starts), "r", "left")
+        .join(_sent(starts), "r", "left")
         .withColumn("starts", (F.col("left") >= min_lines) & F.coalesce(at > F.col("first"), F.lit(False)))
     )
     back = Window.partitionBy("rid").orderBy("i").rangeBetween(-(min_lines - 1), 0)
@@ -193,7 +201,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = numbered(documents(spark, sf_dir).select("doc_id", "text"), "doc_id", "text")
     clean = _cleaned(rows, later_copies(rows))
     return clean.select(
-        F.col("key").alias("doc_id"), F.coalesce(F.regexp_count("text", F.lit(r"(?m)^.*[^\x20\x09-\x0D].*$")), F.lit(0)).cast("long").alias("n_lines"),
+        F.col("key").alias("doc_id"), F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(WORD))).cast("long").alias("n_lines"),
         F.col("removed").alias("n_removed"), F.col("clean").alias("text"))
 
 
