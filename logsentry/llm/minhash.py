@@ -4,7 +4,7 @@
    signature of minima and a digest of the set. Documents with one set are one node from here on:
    exact copies, however many, cost one row.
 2. Nodes whose signatures agree in a whole band share a bucket. Pairs are never made within a bucket.
-   Twice, one node is the centre and is paired with the others; accepted links join nodes to
+   Three times, one node is the centre and is paired with the others; accepted links join nodes to
    components, and a bucket that lies in one component is done. The nodes of buckets that still hold
    several components are then joined by their rarest shingles, which finds every pair that can reach
    the threshold and skips what only shares common passages. So no link is lost that could join two
@@ -41,7 +41,7 @@ HASHES = BANDS * ROWS
 BATCH = 32  # minima compared between two looks at the posterior
 MISS = 1e-5  # chance of dropping a pair that reaches the threshold, at each look
 WORDS, PERCENT = 5, 80
-STARS = 2  # rounds with one centre per bucket
+STARS = 3  # rounds with one centre per bucket
 CACHE = 500_000  # word hashes a task remembers
 BLOCK = 1024  # shingles hashed at a time
 
@@ -242,9 +242,21 @@ def _mixed(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     return pin(named.join(spread.filter("lo <> hi").select("bucket"), "bucket"), "mixed")
 
 
-def _star(rows: DataFrame, centre) -> DataFrame:
-    """Each row of a bucket with the bucket's centre, where they are not of one component."""
-    chosen = rows.groupBy("bucket").agg(centre(F.struct("node", "label")).alias("c"))
+def _busy(rows: DataFrame) -> DataFrame:
+    """Bucket rows with the number of buckets that their node is in."""
+    return rows.join(rows.groupBy("node").agg(F.count(F.lit(1)).alias("buckets")), "node")
+
+
+def _star(rows: DataFrame, step: int) -> DataFrame:
+    """Each row of a bucket with the bucket's centre, where they are not of one component.
+
+    The centre is the bucket's first node, then its last, then that which is in most of the buckets still mixed: the text that
+    many others were made from is closer to all of them than they are to each other, and so meets them more often.
+    """
+    if step < 2:
+        chosen = rows.groupBy("bucket").agg((F.min, F.max)[step](F.struct("node", "label")).alias("c"))
+    else:
+        chosen = _busy(rows).groupBy("bucket").agg(F.max_by(F.struct("node", "label"), F.struct("buckets", "node")).alias("c"))
     pairs = rows.join(chosen, "bucket").filter(F.col("label") != F.col("c.label"))
     return pairs.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
 
@@ -317,7 +329,7 @@ def _components(df: DataFrame, key: str, text: str, words: int, percent: int, ri
         mixed = _mixed(in_buckets, labels)
         if labels is not None and mixed.isEmpty():
             break
-        pairs = _rest_pairs(mixed, sets, percent) if step == STARS else _star(mixed, (F.min, F.max)[step % 2])
+        pairs = _rest_pairs(mixed, sets, percent) if step == STARS else _star(mixed, step)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = pin(pairs, "pairs")
