@@ -30,10 +30,11 @@ def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def numbered_values(pairs: DataFrame) -> DataFrame:
     """(column, value, code) of a written table of distinct pairs: each column's values from 0 in their order."""
-    if pairs.count() <= BROADCAST_ROWS:
+    rows = pairs.count()
+    if rows <= BROADCAST_ROWS:
         code = F.row_number().over(Window.partitionBy("column").orderBy("value")) - 1
         return pairs.withColumn("code", code)
-    numbered = global_index(pairs, ["column", "value"], "_at", tag="encoders")
+    numbered = global_index(pairs, ["column", "value"], "_at", tag="encoders", rows=rows)
     starts = numbered.groupBy("column").agg(F.min("_at").alias("_start"))  # one row per encoded column
     return numbered.join(F.broadcast(starts), "column").select(
         "column", "value", (F.col("_at") - F.col("_start")).cast("int").alias("code")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from logsentry.functions.calendar import create_time_features
 from logsentry.operators.encode import apply_encoders, fit_encoders
-from logsentry.operators.order import block_rows, blocked, carried, global_index
+from logsentry.operators.order import TASK_ROWS, block_rows, blocked, carried, global_index, task_count
 from logsentry.sources.schemas import (
     CATEGORICAL_COLUMNS, FEATURE_COLUMNS, LAGS, ROLLING_WINDOW, TARGET,
 )
@@ -20,7 +20,7 @@ def load_and_preprocess(raw: DataFrame, tie: str, ts: str = "Timestamp") -> Data
     """
     if dict(raw.dtypes)[ts] == "string":
         raw = raw.withColumn(ts, F.col(ts).cast("timestamp_ntz"))
-    return global_index(raw, [ts, tie])
+    return global_index(raw, [ts, tie], rows=raw.count())
 
 
 def require_rows(df: DataFrame) -> DataFrame:
@@ -47,10 +47,12 @@ def create_ordered_features(
     of each key in earlier blocks is added as extra rows in front of the block,
     not joined to the log: a few hot keys cost nothing. Lag gaps take the mean of
     ``fit_on`` (the whole table by default). ``block`` follows the table size unless given.
+    A task gets about ``TASK_ROWS`` rows where the index knows the table's length; blocks
+    are then small beside that, so that hashing them spreads the rows evenly.
     """
     lags = LAGS if lags is None else lags
     halo = max([(window or 1) - 1, *lags, 0])
-    block = block or max(block_rows(df), halo)
+    block = block or max(min(block_rows(df), TASK_ROWS // 32), halo)
     rows = blocked(df, halo, block)
     if since:
         carry = carried(df, since, ts, block, seed=last_seen).select(
@@ -61,7 +63,8 @@ def create_ordered_features(
         rows = rows.unionByName(carry, allowMissingColumns=True)
 
     # One exchange by block serves the windows by (block) and by (block, key).
-    rows = rows.repartition("_blk")
+    tasks = task_count(df.sparkSession, df.schema["idx"].metadata.get("rows", 0))
+    rows = rows.repartition(*([tasks] if tasks else []), "_blk")
     ordered = Window.partitionBy("_blk").orderBy("idx")
     added = {}
     if window:

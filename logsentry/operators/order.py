@@ -10,7 +10,7 @@ position plus an offset from a table with one row per range.
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logsentry.session import pin
@@ -18,6 +18,8 @@ from logsentry.session import pin
 # Rows per block: enough blocks to fill the cluster, within these bounds.
 MIN_BLOCK_ROWS = 1 << 12
 MAX_BLOCK_ROWS = 1 << 20
+# Rows a task sorts, about, however long the table: what it holds in memory does not follow the table.
+TASK_ROWS = 1 << 19
 
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
@@ -27,6 +29,15 @@ def _ascending(col: str | Column) -> Column:
     return F.col(col).asc_nulls_last() if isinstance(col, str) else col
 
 
+def task_count(spark: SparkSession, rows: int) -> int | None:
+    """Partitions of about ``TASK_ROWS`` rows at most, and enough to fill the cluster; None if one task can have all rows.
+
+    The session's number of shuffle partitions does not follow the table, and AQE merges partitions by their
+    compressed bytes, of which narrow sorted rows have few: both let tasks grow with the table.
+    """
+    return max(-(-rows // TASK_ROWS), spark.sparkContext.defaultParallelism) if rows > TASK_ROWS else None
+
+
 def range_parts(df: DataFrame, order: list[str | Column], tag: str = "ranges", ranges: int | None = None) -> DataFrame:
     """Rows cut into ordered ranges, with ``_part`` (range number) and ``_pos`` (place in it).
 
@@ -51,8 +62,8 @@ def range_parts(df: DataFrame, order: list[str | Column], tag: str = "ranges", r
 def _offsets(parts: DataFrame, sums: dict[str, Column]) -> tuple[dict[str, Column], dict]:
     """For a row of a range, the total of each measure over all earlier ranges; and the overall totals.
 
-    The totals per range are the only thing collected: one row per range partition,
-    bounded by the shuffle partition count whatever the data size. They come back
+    The totals per range are the only thing collected: one row per range partition, at most the shuffle
+    partition count or, where more, one per ``TASK_ROWS`` rows. They come back
     as one array looked up by range number, so no join is planned and a branch that
     does not use the value does not read its inputs.
     """
@@ -68,13 +79,16 @@ def _offsets(parts: DataFrame, sums: dict[str, Column]) -> tuple[dict[str, Colum
     return {n: F.element_at(table.select(n).scalar(), F.col("_part") + 1) for n in sums}, running
 
 
-def global_index(df: DataFrame, order: list[str | Column], name: str = "idx", tag: str = "index") -> DataFrame:
+def global_index(
+    df: DataFrame, order: list[str | Column], name: str = "idx", tag: str = "index", rows: int | None = None
+) -> DataFrame:
     """Add the gap-free 0-based position of each row in the global order.
 
     ``order`` must end in a tie key that makes it total. One range shuffle, no join.
-    The row count is kept as metadata of the column, to size blocks by.
+    The row count is kept as metadata of the column, to size blocks by. ``rows``, the count of ``df`` if it is
+    known or cheap, bounds the rows of a range.
     """
-    parts = range_parts(df, order, tag)
+    parts = range_parts(df, order, tag, rows and task_count(df.sparkSession, rows))
     base, total = _offsets(parts, {"rows": F.count(F.lit(1))})
     position = (base["rows"] + F.col("_pos")).alias(name, metadata={"rows": total["rows"]})
     return parts.select(*[c for c in parts.columns if c not in ("_part", "_pos")], position)

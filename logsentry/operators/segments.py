@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logsentry.operators.features import create_ordered_features
-from logsentry.operators.order import range_parts
+from logsentry.operators.order import range_parts, task_count
 from logsentry.session import broadcast_if_small, pin
 from logsentry.sources import folders
 
@@ -85,8 +85,8 @@ class SegmentedLog:
 
     # ---- increments
 
-    def _placed(self, increment: DataFrame, state: dict) -> DataFrame:
-        """The rows with ``_at``: the number of their segment among the live ones; behind the last row of the log, that of a new one."""
+    def _placed(self, increment: DataFrame, n: int, state: dict) -> DataFrame:
+        """The ``n`` rows with ``_at``: the number of their segment among the live ones; behind the last row of the log, that of a new one."""
         live = {s[0]: k for k, s in enumerate(state["segments"])}
         numbers = self.spark.createDataFrame(pa.table({"_id": pa.array(list(live), pa.int64()), "_at": pa.array(list(live.values()), pa.int64())}))
         bounds = self.spark.read.parquet(*sorted({f"{self.path}/bounds/{s[1]}" for s in state["segments"]})).join(broadcast_if_small(numbers), "_id")
@@ -95,7 +95,7 @@ class SegmentedLog:
         end = bounds.filter(F.col("_at") == len(live) - 1).select(*keys("last"), (F.col("_at") + 1).alias("_at"), F.lit(2).alias("_turn"))
         marks = firsts.unionByName(end)
         rows = increment.withColumns({"_at": F.lit(None).cast("long"), "_turn": F.lit(1)})
-        parts = range_parts(rows.unionByName(marks, allowMissingColumns=True), [*self.order, "_turn"], "increment")
+        parts = range_parts(rows.unionByName(marks, allowMissingColumns=True), [*self.order, "_turn"], "increment", task_count(self.spark, n))
         # The last mark before a row: in its range, or in one before, of which one number per range reaches the driver.
         top = {r[0]: r[1] for r in parts.groupBy("_part").agg(F.max("_at")).collect()}
         carried, last = [], 0
@@ -116,7 +116,7 @@ class SegmentedLog:
         if not n_new:
             return {"read": [], "written": []}
         if old:
-            placed = pin(self._placed(given, state), "placed")
+            placed = pin(self._placed(given, n_new, state), "placed")
             touched = {r[0] for r in placed.select("_at").distinct().collect()}
             if len(old) in touched and old[-1][2] < self.rows // 2:  # the last segment has room
                 placed = placed.withColumn("_at", F.least("_at", F.lit(len(old) - 1)))
@@ -190,6 +190,7 @@ class SegmentedLog:
             tail = self._read([s for s, _ in halo]).filter(F.col("_pos") >= min(f for _, f in halo)).join(broadcast_if_small(starts), "_id")
             rows = rows.unionByName(tail.filter("_pos >= _from").select(*columns, F.lit(False).alias("_new")))
         indexed = rows.join(broadcast_if_small(self._offsets(segments)), "_id").withColumn("idx", F.col("_before") + F.col("_pos")).drop("_before", "_rows")
+        indexed = indexed.withMetadata("idx", {"rows": sum(s[2] for s in segments if s[0] in ids)})  # as many tasks as they need
         # An empty table has no mean: gaps stay null.
         out = create_ordered_features(indexed, self.window, self.lags, None, self.value, fit_on=fresh.limit(0), block=max(self.rows, self.halo))
         return out.filter("_new").drop("_new", "idx"), halo

@@ -53,7 +53,7 @@ def shuffle_key(row_id: str) -> Column:
 def random_split(df: DataFrame, row_id: str, test_ratio: float = 0.3) -> DataFrame:
     """Add ``is_test`` for exactly ``ceil(n * ratio)`` rows, chosen by a hash of the row id."""
     shuffled = global_index(
-        df.withColumn("_key", shuffle_key(row_id)), ["_key", row_id], "_at", tag="random-split"
+        df.withColumn("_key", shuffle_key(row_id)), ["_key", row_id], "_at", tag="random-split", rows=df.count()
     )
     cut = F.ceil(row_total(shuffled, "_at") * F.lit(float(test_ratio)))
     return shuffled.withColumn("is_test", F.col("_at") < cut).drop("_key", "_at")
@@ -66,7 +66,7 @@ def stratified_split(df: DataFrame, label: str, row_id: str, test_ratio: float =
     most rows is still spread over many tasks. Classes are few: their counts are broadcast.
     """
     shuffled = global_index(
-        df.withColumn("_key", shuffle_key(row_id)), [label, "_key", row_id], "_at", tag="stratified-split"
+        df.withColumn("_key", shuffle_key(row_id)), [label, "_key", row_id], "_at", tag="stratified-split", rows=df.count()
     )
     classes = shuffled.groupBy(label).agg(
         F.min("_at").alias("_start"), F.round(F.count(F.lit(1)) * F.lit(float(test_ratio))).alias("_take")

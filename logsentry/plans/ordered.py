@@ -36,7 +36,7 @@ def load_preprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def global_index_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(*LINE_ORDER)
-    return global_index(lines, LINE_ORDER).select("l_shipdate", "l_orderkey", "l_linenumber", "idx")
+    return global_index(lines, LINE_ORDER, rows=lines.count()).select("l_shipdate", "l_orderkey", "l_linenumber", "idx")
 
 
 def rolling_mean_std(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +72,7 @@ def time_since_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ordered_features_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(*LINE_ORDER, "l_returnflag")
     out = feat.create_ordered_features(
-        global_index(lines, LINE_ORDER), since="l_returnflag", value="l_quantity", ts="l_shipdate")
+        global_index(lines, LINE_ORDER, rows=lines.count()), since="l_returnflag", value="l_quantity", ts="l_shipdate")
     return rounded(out.select("idx", "l_orderkey", "payload_rolling_mean", "payload_rolling_std", "payload_lag_1",
                               "payload_lag_5", "time_since_last"))
 

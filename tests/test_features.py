@@ -80,6 +80,30 @@ def test_index_splits_one_hot_timestamp(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
 
 
+def test_rows_of_a_task_do_not_follow_the_table(spark):
+    """One shuffle partition: index and windows still spread a table longer than a task's share, with the same values."""
+    n = 1_200_000
+    log = spark.range(n).select((n - 1 - F.col("id")).alias("id")).select(
+        "id", F.timestamp_seconds(F.col("id") * 2).cast("timestamp_ntz").alias("Timestamp"), (F.col("id") % 3).cast("string").alias("Request_Type"),
+        (F.col("id") % 7).alias("Payload_Size"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        df = feat.load_and_preprocess(log, "id")
+        out = feat.create_ordered_features(df)
+        ranges = [r[0] for r in df.groupBy(F.input_file_name()).count().select("count").collect()]
+        tasks = [r[0] for r in out.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        right = (F.col("idx") == F.col("id")) & (F.col("time_since_last") == F.when(F.col("id") < 3, 0.0).otherwise(6.0))
+        for lag in (1, 5):
+            right &= F.col(f"payload_lag_{lag}").eqNullSafe((F.col("id") - lag) % 7) | (F.col("id") < lag)
+        right &= (F.abs(F.col("payload_rolling_mean") - sum((F.col("id") - k) % 7 for k in range(10)) / 10) < 1e-9) | (F.col("id") < 9)
+        assert out.filter(right).count() == n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for sizes in (ranges, tasks):
+        assert sum(sizes) == n and max(sizes) < n * 3 // 4
+
+
 @pytest.mark.parametrize("block", [9, 100, 1 << 16])
 def test_blocks_do_not_change_results(indexed, block):
     got = feat.create_ordered_features(indexed, block=block)
