@@ -47,8 +47,8 @@ def create_ordered_features(
     of each key in earlier blocks is added as extra rows in front of the block,
     not joined to the log: a few hot keys cost nothing. Lag gaps take the mean of
     ``fit_on`` (the whole table by default). ``block`` follows the table size unless given.
-    A task gets about ``TASK_ROWS`` rows where the index knows the table's length; blocks
-    are then small beside that, so that hashing them spreads the rows evenly.
+    Where the index knows the table's length there are tasks for it (``task_count``); blocks
+    are small beside a task, so that hashing them spreads the rows evenly.
     """
     lags = LAGS if lags is None else lags
     halo = max([(window or 1) - 1, *lags, 0])

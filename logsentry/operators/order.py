@@ -18,8 +18,9 @@ from logsentry.session import pin
 # Rows per block: enough blocks to fill the cluster, within these bounds.
 MIN_BLOCK_ROWS = 1 << 12
 MAX_BLOCK_ROWS = 1 << 20
-# Rows a task sorts, about, however long the table: what it holds in memory does not follow the table.
+# Rows a task sorts, about, in up to as many tasks as a shuffle writes rows straight to; and in more tasks.
 TASK_ROWS = 1 << 19
+MAX_TASK_ROWS = 1 << 22
 
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
@@ -30,12 +31,18 @@ def _ascending(col: str | Column) -> Column:
 
 
 def task_count(spark: SparkSession, rows: int) -> int | None:
-    """Partitions of about ``TASK_ROWS`` rows at most, and enough to fill the cluster; None if one task can have all rows.
+    """Partitions of about ``TASK_ROWS`` rows, and enough to fill the cluster; None if one task can have all rows.
 
     The session's number of shuffle partitions does not follow the table, and AQE merges partitions by their
-    compressed bytes, of which narrow sorted rows have few: both let tasks grow with the table.
+    compressed bytes, of which narrow sorted rows have few: both let tasks grow with the table. With more partitions
+    than Spark's bypass threshold a task that writes a shuffle holds all its rows to sort them. So that number is
+    passed only where tasks would get more than ``MAX_TASK_ROWS`` rows.
     """
-    return max(-(-rows // TASK_ROWS), spark.sparkContext.defaultParallelism) if rows > TASK_ROWS else None
+    if rows <= TASK_ROWS:
+        return None
+    sc = spark.sparkContext
+    direct = int(sc.getConf().get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    return max(min(-(-rows // TASK_ROWS), direct), -(-rows // MAX_TASK_ROWS), sc.defaultParallelism)
 
 
 def range_parts(df: DataFrame, order: list[str | Column], tag: str = "ranges", ranges: int | None = None) -> DataFrame:
@@ -63,7 +70,7 @@ def _offsets(parts: DataFrame, sums: dict[str, Column]) -> tuple[dict[str, Colum
     """For a row of a range, the total of each measure over all earlier ranges; and the overall totals.
 
     The totals per range are the only thing collected: one row per range partition, at most the shuffle
-    partition count or, where more, one per ``TASK_ROWS`` rows. They come back
+    partition count or as ``task_count`` says. They come back
     as one array looked up by range number, so no join is planned and a branch that
     does not use the value does not read its inputs.
     """
