@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,9 @@ BROADCAST_BYTES = 64 << 20
 # Estimates from here on stand for tables that Spark knows no size of: rows given by the driver.
 _UNKNOWN = 1 << 60
 
+# Spark deletes the shuffle files of a query when it ends, not when the driver happens to collect its garbage.
+_FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _written: list[str] = []  # tables this process pinned, in order
 
 
@@ -64,18 +69,33 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/logsentry/{app}/{tag}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that run meanwhile delete their shuffle files when they end. The session's own setting then holds again."""
+    before = spark.conf.get(_FILE_CLEANUP, None)
+    spark.conf.set(_FILE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FILE_CLEANUP)
+        else:
+            spark.conf.set(_FILE_CLEANUP, before)
+
+
 def pin(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as parquet in the shared folder and read it back.
 
     The columnar copy survives lost executors, lets every later branch read only
     the columns it needs, and freezes values such as range-partition numbers that
-    must not change between two evaluations.
+    must not change between two evaluations. What was shuffled to make it is deleted.
     """
     spark = df.sparkSession
     if path is None:
         path = scratch_path(spark, tag)
         _written.append(path)
-    df.write.parquet(path)
+    with _shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,6 +65,23 @@ def test_pin_and_broadcast_limit(spark):
     assert session.scratch_path(spark, "x").startswith(session.shared_dir(spark))
 
 
+def test_pin_leaves_no_shuffle_files(spark):
+    """What was shuffled for a pinned table goes when it is written; the session's own setting stays as it was, also after a failure."""
+    told = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    shuffled = lambda: {f for f in told().split("\n") if f.endswith(".data")}
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    own, before, since = spark.conf.get(key, None), shuffled(), time.monotonic()
+    rows = spark.range(20_000).repartition(6, "id").groupBy((F.col("id") % 5_000).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    pinned = session.pin(rows, "t")
+    while shuffled() - before and time.monotonic() < since + 60:  # they are deleted in the background
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert pinned.agg(F.count(F.lit(1)), F.sum("n")).first() == (5_000, 20_000) == rows.agg(F.count(F.lit(1)), F.sum("n")).first()
+    with pytest.raises(Exception, match="ARITHMETIC|DIVIDE"):
+        session.pin(rows.select(F.expr("raise_error('DIVIDE')")), "t")
+    assert spark.conf.get(key, None) == own
+
+
 def test_block_size_follows_the_table(spark):
     small = global_index(spark.range(10), ["id"])
     assert small.schema["idx"].metadata["rows"] == 10
