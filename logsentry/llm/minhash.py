@@ -311,13 +311,22 @@ def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def _components(df: DataFrame, key: str, text: str, words: int, percent: int, rid: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """The signed rows, and (digest, label, component_id) of their sets of shingles."""
-    rows = signed(df, key, text, words, rid)
+    """The signed rows without signatures, and (digest, label, component_id) of their sets of shingles.
+
+    Only these two tables stay. Signatures are most of what is written: once each set has its own, those of the rows go.
+    """
+    given = set(written())
+    mine = lambda: [p for p in written(here=True) if p not in given]
+    full = signed(df, key, text, words, rid)
+    signatures = mine()
+    rows = pin(full.drop("sig"), "signed-rows")
+    stay = mine()[-1:]
     reps = rows.filter("n_shingles > 0").groupBy("digest").agg(
         F.min("rid").alias("node"), F.min("key").alias("least"))
     nodes = pin(
-        rows.join(reps.select(F.col("node").alias("rid")), "rid").select(
+        full.join(reps.select(F.col("node").alias("rid")), "rid").select(
             F.col("rid").alias("node"), "key", "digest", F.col("n_shingles").alias("n"), "sig"), "nodes")
+    drop(df.sparkSession, signatures)
     banded = buckets(nodes)
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket")
     in_buckets = pin(banded.join(shared, "bucket"), "buckets")
@@ -339,7 +348,9 @@ def _components(df: DataFrame, key: str, text: str, words: int, percent: int, ri
     of_digest = reps.join(labels, "node", "left").select(
         "digest", "least", F.coalesce("label", "node").alias("label"))
     smallest = of_digest.groupBy("label").agg(F.min("least").alias("component_id"))
-    return rows, pin(of_digest.join(smallest, "label").select("digest", "label", "component_id"), "components")
+    named = pin(of_digest.join(smallest, "label").select("digest", "label", "component_id"), "components")
+    drop(df.sparkSession, [p for p in mine()[:-1] if p not in stay])
+    return rows, named
 
 
 def near_duplicates(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -22,7 +23,7 @@ _UNKNOWN = 1 << 60
 # Spark deletes the shuffle files of a query when it ends, not when the driver happens to collect its garbage.
 _FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-_written: list[str] = []  # tables this process pinned, in order
+_written: dict[str, int] = {}  # tables this process pinned, in order, with the thread that did
 
 
 def build_session(app: str = "logsentry", master: str | None = None, **conf: str) -> SparkSession:
@@ -93,15 +94,15 @@ def pin(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
     spark = df.sparkSession
     if path is None:
         path = scratch_path(spark, tag)
-        _written.append(path)
+        _written[path] = threading.get_ident()
     with _shuffles_removed(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def written() -> list[str]:
-    """Paths of the scratch tables this process pinned so far and has not dropped."""
-    return list(_written)
+def written(here: bool = False) -> list[str]:
+    """Paths of the scratch tables this process, or ``here`` this thread, pinned so far and has not dropped."""
+    return [path for path, thread in _written.items() if not here or thread == threading.get_ident()]
 
 
 def drop(spark: SparkSession, paths: list[str]) -> None:
@@ -109,7 +110,7 @@ def drop(spark: SparkSession, paths: list[str]) -> None:
     for name in paths:
         path = spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-        _written.remove(name)
+        del _written[name]
 
 
 def release(spark: SparkSession) -> None:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from logsentry.llm import minhash
-from logsentry.session import pin
+from logsentry.session import pin, written
 from tests.llm import plain
 
 SF = "/root/testdata/sf0.01"
@@ -37,6 +37,18 @@ def test_two_results_of_a_stage(spark, stages, tmp_path):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
+def test_near_duplicates_keep_two_tables(spark):
+    """Of the scratch tables only those that the result reads stay, and none of them has signatures."""
+    text = " ".join(f"w{n}" for n in range(60))
+    docs = spark.createDataFrame([(1, text), (2, text + " more"), (3, text), (4, "some other text of a few words"), (None, text), (5, None)],
+                                 "doc_id long, text string")
+    before = set(written())
+    out = minhash.near_duplicates(docs)
+    left = [p for p in written() if p not in before]
+    assert len(left) == 2 and not any("sig" in spark.read.parquet(p).columns for p in left)
+    assert {(r["doc_id"], r["component_id"]) for r in out.collect()} == {(1, 1), (2, 1), (3, 1), (None, 1), (4, 4), (5, 5)}
+
+
 ODD = "doc_id long, text string, source string, lang string, n_chars long"
 
 
